@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from newsflow.queries import clean
+from newsflow.queries import clean, profile
 
 QUERIES: dict = {}
 SQL: dict = {}
 
-for _mod in (clean,):
+for _mod in (clean, profile):
     QUERIES.update(_mod.QUERIES)
     SQL.update(_mod.SQL)

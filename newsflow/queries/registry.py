@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from newsflow.queries import clean, profile
+from newsflow.queries import clean, features, profile
 
 QUERIES: dict = {}
 SQL: dict = {}
 
-for _mod in (clean, profile):
+for _mod in (clean, profile, features):
     QUERIES.update(_mod.QUERIES)
     SQL.update(_mod.SQL)

@@ -13,7 +13,7 @@ token and joined back, so the per-token work is one equi-join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 # Noun suffix rules (old ending -> new ending) in rule order.
@@ -51,6 +51,29 @@ def _best(cands: DataFrame, lexicon: DataFrame) -> DataFrame:
         F.min_by("cand", F.struct(F.length("cand"), F.col("seq"))).alias("lemma"))
 
 
+def _round(cands: DataFrame, lex: DataFrame, extra: DataFrame | None = None):
+    """One rule round: (found lemmas, forms to expand next).
+
+    Candidates are flagged against the lexicon and materialised once; a token
+    with any hit is resolved (shortest hit wins), the rest carry their rule
+    forms (never the token itself) into the next round.
+    """
+    allc = cands.withColumn("_rule", F.lit(True))
+    if extra is not None:
+        allc = allc.unionByName(extra.withColumn("_rule", F.lit(False)))
+    lexf = lex.select(F.col("form").alias("cand"), F.lit(True).alias("hit"))
+    w = Window.partitionBy("token")
+    flagged = (allc.join(lexf, "cand", "left")
+               .withColumn("hit", F.coalesce("hit", F.lit(False)))
+               .withColumn("any_hit", F.max("hit").over(w))
+               .checkpoint())
+    found = (flagged.where("hit").groupBy("token").agg(
+        F.min_by("cand", F.struct(F.length("cand"), F.col("seq"))).alias("lemma")))
+    pending = (flagged.where(~F.col("any_hit") & F.col("_rule"))
+               .select("token", F.col("cand").alias("form"), "seq"))
+    return found, pending
+
+
 def lemma_table(tokens: DataFrame, lexicon: DataFrame,
                 exceptions: DataFrame | None = None, max_rounds: int = 64) -> DataFrame:
     """(token) distinct -> (token, lemma) for every token.
@@ -78,19 +101,14 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame,
                     .select("token", F.coalesce("lemma", "token").alias("lemma")))
         toks = toks.join(exc_tokens, "token", "left_anti")
     frontier = toks.select("token", F.col("token").alias("form"), F.lit(0).cast("long").alias("seq"))
-    rules1 = _apply_rules(frontier)
-    found = _best(rules1.unionByName(frontier.select("token", F.col("form").alias("cand"), "seq")),
-                  lex).checkpoint()
+    # round 1: the token itself and its one-rule forms
+    found, pending = _round(_apply_rules(frontier), lex,
+                            frontier.select("token", F.col("form").alias("cand"), "seq"))
     rounds_found = [found]
-    pending = (rules1.join(found, "token", "left_anti")
-               .select("token", F.col("cand").alias("form"), "seq").checkpoint())
     rounds = 1
     while rounds < max_rounds and not pending.isEmpty():
-        cands = _apply_rules(pending)
-        found = _best(cands, lex).checkpoint()
+        found, pending = _round(_apply_rules(pending), lex)
         rounds_found.append(found)
-        pending = (cands.join(found, "token", "left_anti")
-                   .select("token", F.col("cand").alias("form"), "seq").checkpoint())
         rounds += 1
     matched = rounds_found[0]
     for r in rounds_found[1:]:
@@ -101,21 +119,23 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame,
     return out.unionByName(exc_part) if exc_part is not None else out
 
 
-def lemmatize_tokens(df: DataFrame, key: str, lemmas: DataFrame, tokens: str = "tokens") -> DataFrame:
+def lemmatize_tokens(df: DataFrame, key, lemmas: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Replace every token by its lemma; result tokens distinct and sorted.
 
-    ``key`` must identify rows. One row per (key, token) joins the (token,
-    lemma) map -- AQE broadcasts the map when its measured size is small and
-    otherwise keeps a skew-split sort-merge join -- then rows regroup by
-    ``key``. The row's other columns ride along only on its first token, so
-    long texts are not copied per token; a group is one document.
+    ``key`` (a column name or list of names) must identify rows. One row per
+    (key, token) joins the (token, lemma) map -- AQE broadcasts the map when
+    its measured size is small and otherwise keeps a skew-split sort-merge
+    join -- then rows regroup by ``key``. The row's other columns ride along
+    only on its first token, so long texts are not copied per token; a group
+    is one document.
     """
-    rest = [c for c in df.columns if c not in (key, tokens)]
-    ex = df.select(key, F.struct(*rest).alias("_rest") if rest else F.lit(None).alias("_rest"),
+    keys = [key] if isinstance(key, str) else list(key)
+    rest = [c for c in df.columns if c not in keys and c != tokens]
+    ex = df.select(*keys, F.struct(*rest).alias("_rest") if rest else F.lit(None).alias("_rest"),
                    F.posexplode_outer(tokens).alias("_pos", "token"))
     ex = ex.withColumn("_rest", F.when(F.coalesce(F.col("_pos"), F.lit(0)) == 0, F.col("_rest")))
     mapped = (ex.join(lemmas.select("token", "lemma"), "token", "left")
-              .select(key, "_rest", F.coalesce("lemma", "token").alias("lemma")))
-    g = mapped.groupBy(key).agg(F.first("_rest", ignorenulls=True).alias("_rest"),
-                                F.array_sort(F.collect_set("lemma")).alias(tokens))
-    return g.select(key, *[F.col(f"_rest.{c}").alias(c) for c in rest], tokens)
+              .select(*keys, "_rest", F.coalesce("lemma", "token").alias("lemma")))
+    g = mapped.groupBy(*keys).agg(F.first("_rest", ignorenulls=True).alias("_rest"),
+                                  F.array_sort(F.collect_set("lemma")).alias(tokens))
+    return g.select(*keys, *[F.col(f"_rest.{c}").alias(c) for c in rest], tokens)

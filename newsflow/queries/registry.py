@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from newsflow.queries import clean, features, metrics, profile
+from newsflow.queries import clean, features, metrics, model, profile
 
 QUERIES: dict = {}
 SQL: dict = {}
 
-for _mod in (clean, profile, features, metrics):
+for _mod in (clean, profile, features, metrics, model):
     QUERIES.update(_mod.QUERIES)
     SQL.update(_mod.SQL)

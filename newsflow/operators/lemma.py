@@ -119,6 +119,12 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame,
     return out.unionByName(exc_part) if exc_part is not None else out
 
 
+def lemma_changes(lemmas: DataFrame) -> DataFrame:
+    """Only the tokens whose lemma differs: the map that ``lemmatize_tokens``
+    needs (usually a small fraction of the vocabulary), materialised."""
+    return lemmas.where(F.col("token") != F.col("lemma")).checkpoint()
+
+
 def lemmatize_tokens(df: DataFrame, key, lemmas: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Replace every token by its lemma; result tokens distinct and sorted.
 

@@ -14,6 +14,9 @@ table. Cleaning itself is code (column expressions) and needs no state.
 
 from __future__ import annotations
 
+import os
+import sys
+import time
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -28,9 +31,18 @@ from newsflow.functions import text as T
 from newsflow.operators import metrics as M
 from newsflow.operators.clean import clean_text
 from newsflow.operators.features import is_test
-from newsflow.operators.lemma import lemma_table, lemmatize_tokens
+from newsflow.operators.lemma import lemma_changes, lemma_table, lemmatize_tokens
 
 PRED = "prediction_label"
+_TIMING = bool(os.environ.get("NEWSFLOW_TIMING"))
+_T = [time.perf_counter()]
+
+
+def _lap(msg: str) -> None:
+    if _TIMING:
+        now = time.perf_counter()
+        print(f"[train] {msg} {now - _T[0]:.2f}s", file=sys.stderr, flush=True)
+        _T[0] = now
 
 
 @dataclass
@@ -68,7 +80,7 @@ class TextModel:
         if self.lexicon is not None:
             c = c.checkpoint()
             toks = c.select(F.explode("tokens").alias("token")).distinct()
-            c = lemmatize_tokens(c, self.key, lemma_table(toks, self.lexicon))
+            c = lemmatize_tokens(c, self.key, lemma_changes(lemma_table(toks, self.lexicon)))
         return c.withColumn("terms", T.terms("tokens"))
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -120,21 +132,29 @@ def train(df: DataFrame, cfg: TrainConfig | None = None):
     the training features are cached for the iterative optimizer.
     """
     cfg = cfg or TrainConfig()
+    _lap("start")
     prep = prepare(df, cfg).checkpoint()  # regex cleaning runs once
+    _lap("clean")
     lexicon = None
     if cfg.lemmas:
         lexicon = (prep.where(~F.col("is_test")).select(F.explode("tokens").alias("form"))
                    .distinct().checkpoint())
+        _lap("lexicon")
         toks = prep.select(F.explode("tokens").alias("token")).distinct()
-        prep = lemmatize_tokens(prep, cfg.key, lemma_table(toks, lexicon))
+        changes = lemma_changes(lemma_table(toks, lexicon))
+        _lap("lemma table")
+        prep = lemmatize_tokens(prep, cfg.key, changes)
     prep = prep.withColumn("terms", T.terms("tokens")).checkpoint()
+    _lap("lemmatize")
     trn = prep.where(~F.col("is_test"))
     tst = prep.where(F.col("is_test"))
 
     cv = CountVectorizer(inputCol="terms", outputCol="tf", binary=True,
                          minDF=cfg.min_df, vocabSize=cfg.vocab_size).fit(trn)
     tf = cv.transform(trn)
+    _lap("vectorizer fit")
     idf = IDF(inputCol="tf", outputCol="_idf").fit(tf)
+    _lap("idf fit")
     scale = ElementwiseProduct(scalingVec=DenseVector(idf.idf.toArray() + 1.0),
                                inputCol="tf", outputCol="tfidf")
     norm = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
@@ -143,11 +163,13 @@ def train(df: DataFrame, cfg: TrainConfig | None = None):
     feats = indexer.transform(norm.transform(scale.transform(tf))).select("features", "label")
     feats = feats.persist()
     n_train = feats.count()
+    _lap("features")
     reg = cfg.reg_param if cfg.reg_param is not None else 1.0 / max(n_train, 1)
     lr = LogisticRegression(featuresCol="features", labelCol="label", family="auto",
                             maxIter=cfg.max_iter, tol=cfg.tol, regParam=reg,
                             elasticNetParam=0.0, standardization=False, fitIntercept=True)
     lr_model = lr.fit(feats)
+    _lap(f"lr fit ({lr_model.summary.totalIterations} iterations)")
     feats.unpersist()
     to_label = IndexToString(inputCol="prediction", outputCol=PRED, labels=indexer.labels)
     pipe = PipelineModel(stages=[cv, scale, norm, lr_model, to_label])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import text as T
 from newsflow.operators import features as FT
 from newsflow.operators.clean import clean_text
-from newsflow.operators.lemma import NOUN_RULES, lemma_table, lemmatize_tokens
+from newsflow.operators.lemma import NOUN_RULES, lemma_changes, lemma_table, lemmatize_tokens
 from newsflow.queries import duck as D
 from newsflow.sources.tables import documents
 
@@ -29,8 +29,8 @@ def q_lemma_table(spark, sf):
 
 
 def q_lemmatize(spark, sf):
-    df = cleaned(spark, sf).select(KEY, "lang", "tokens")
-    lem = lemmatize_tokens(df, KEY, corpus_lemmas(df))
+    df = cleaned(spark, sf).select(KEY, "lang", "tokens").checkpoint()  # clean once
+    lem = lemmatize_tokens(df, KEY, lemma_changes(corpus_lemmas(df)))
     return lem.select(KEY, "lang", T.join_tokens("tokens").alias("processed_text"))
 
 

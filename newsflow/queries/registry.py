@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from newsflow.queries import clean, features, metrics, model, profile
+from newsflow.queries import clean, features, metrics, model, profile, updates
 
 QUERIES: dict = {}
 SQL: dict = {}
 
-for _mod in (clean, profile, features, metrics, model):
+for _mod in (clean, profile, features, metrics, model, updates):
     QUERIES.update(_mod.QUERIES)
     SQL.update(_mod.SQL)

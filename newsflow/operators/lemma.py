@@ -13,7 +13,7 @@ token and joined back, so the per-token work is one equi-join.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Noun suffix rules (old ending -> new ending) in rule order.
@@ -30,93 +30,74 @@ NOUN_RULES = (
 )
 
 
-def _apply_rules(forms: DataFrame) -> DataFrame:
-    """(token, form, seq) -> (token, cand, seq*10 + rule), one row per matching rule."""
-    structs = [
-        F.when(F.col("form").endswith(old),
-               F.struct(F.concat(F.expr(f"substring(form, 1, length(form) - {len(old)})"),
+_CAND = "struct<cand:string,path:string,depth:int>"
+
+
+def _rule_outputs(f):
+    """Forms made by one rule application to ``f`` (struct cand, path)."""
+    outs = [
+        F.when(f["cand"].endswith(old),
+               F.struct(F.concat(f["cand"].substr(F.lit(1), F.length(f["cand"]) - F.lit(len(old))),
                                  F.lit(new)).alias("cand"),
-                        (F.col("seq") * 10 + i).alias("seq")))
+                        F.concat(f["path"], F.lit(str(i))).alias("path")))
         for i, (old, new) in enumerate(NOUN_RULES, start=1)
     ]
-    return (forms.select("token", F.explode(F.filter(F.array(*structs), lambda s: s.isNotNull()))
-                         .alias("c"))
-            .select("token", "c.cand", "c.seq"))
+    return F.filter(F.array(*outs), lambda x: x.isNotNull())
 
 
-def _best(cands: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """(token, cand, seq) kept if cand is in the lexicon -> (token, lemma)."""
-    hit = cands.join(lexicon, cands.cand == lexicon.form, "left_semi")
-    return hit.groupBy("token").agg(
-        F.min_by("cand", F.struct(F.length("cand"), F.col("seq"))).alias("lemma"))
+def rule_chains(token) -> "Column":
+    """Every form reachable from ``token`` by repeated rule application.
 
+    Array of (cand, path, depth): depth = number of rules applied, path = the
+    rule numbers applied in order (so paths of one depth sort in candidate
+    order). Rules shorten a form or end the chain, so depth <= length(token);
+    the whole closure is one higher-order expression per token.
+    """
+    t = F.col(token) if isinstance(token, str) else token
+    init = F.struct(
+        F.array(F.struct(t.alias("cand"), F.lit("").alias("path"))).alias("front"),
+        F.array().cast(f"array<{_CAND}>").alias("out"))
 
-def _round(cands: DataFrame, lex: DataFrame, extra: DataFrame | None = None):
-    """One rule round: (found lemmas, forms to expand next).
+    def step(acc, d):
+        nxt = F.flatten(F.transform(acc["front"], _rule_outputs))
+        return F.struct(
+            nxt.alias("front"),
+            F.concat(acc["out"], F.transform(nxt, lambda x: F.struct(
+                x["cand"].alias("cand"), x["path"].alias("path"), d.alias("depth")))).alias("out"))
 
-    Candidates are flagged against the lexicon and materialised once; a token
-    with any hit is resolved (shortest hit wins), the rest carry their rule
-    forms (never the token itself) into the next round.
-    """
-    allc = cands.withColumn("_rule", F.lit(True))
-    if extra is not None:
-        allc = allc.unionByName(extra.withColumn("_rule", F.lit(False)))
-    lexf = lex.select(F.col("form").alias("cand"), F.lit(True).alias("hit"))
-    w = Window.partitionBy("token")
-    flagged = (allc.join(lexf, "cand", "left")
-               .withColumn("hit", F.coalesce("hit", F.lit(False)))
-               .withColumn("any_hit", F.max("hit").over(w))
-               .checkpoint())
-    found = (flagged.where("hit").groupBy("token").agg(
-        F.min_by("cand", F.struct(F.length("cand"), F.col("seq"))).alias("lemma")))
-    pending = (flagged.where(~F.col("any_hit") & F.col("_rule"))
-               .select("token", F.col("cand").alias("form"), "seq"))
-    return found, pending
+    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), init, step)["out"]
 
 
 def lemma_table(tokens: DataFrame, lexicon: DataFrame,
-                exceptions: DataFrame | None = None, max_rounds: int = 64) -> DataFrame:
-    """(token) distinct -> (token, lemma) for every token.
-
-    ``lexicon``: (form) table; ``exceptions``: optional (form, lemma) table.
-    Rounds past the first run only for tokens with no match so far and stop
-    when none are left (each round shortens or rewrites a suffix, so the number
-    of rounds is bounded by the token length).
+                exceptions: DataFrame | None = None) -> DataFrame:
+    """(token) -> (token, lemma) for every distinct token.
+
+    Candidates: the token (depth 0) and its rule chains. Round 1 is depth 0
+    and 1 together, round k is depth k. The lemma is the lexicon hit of the
+    earliest round, shortest first, earlier candidate on ties; a token with
+    no hit keeps its form. One lexicon join and one aggregation by token.
+    ``exceptions`` (form, lemma): such tokens use only their listed lemmas.
     """
-    # distinct tokens are read by every round: materialise them once
-    toks = tokens.select(F.col(tokens.columns[0]).alias("token")).distinct().checkpoint()
-    if lexicon is tokens:
-        lex = toks.select(F.col("token").alias("form"))
-    else:
-        lex = lexicon.select(F.col(lexicon.columns[0]).alias("form")).distinct()
-    exc_part = None
+    lex = lexicon.select(F.col(lexicon.columns[0]).alias("cand")).distinct() \
+        .withColumn("_hit", F.lit(True))
+    toks = tokens.select(F.col(tokens.columns[0]).alias("token")).distinct()
+    own = F.struct(F.col("token").alias("cand"), F.lit("").alias("path"), F.lit(0).alias("depth"))
+    chains = F.concat(F.array(own), rule_chains("token"))
     if exceptions is not None:
         exc = exceptions.select(F.col(exceptions.columns[0]).alias("token"),
-                                F.col(exceptions.columns[1]).alias("cand"))
-        exc_tokens = exc.select("token").distinct().join(toks, "token", "left_semi")
-        exc_cands = (exc.withColumn("seq", F.lit(1).cast("long"))
-                     .unionByName(exc_tokens.select("token", F.col("token").alias("cand"),
-                                                    F.lit(0).cast("long").alias("seq"))))
-        exc_part = (exc_tokens.join(_best(exc_cands, lex), "token", "left")
-                    .select("token", F.coalesce("lemma", "token").alias("lemma")))
-        toks = toks.join(exc_tokens, "token", "left_anti")
-    frontier = toks.select("token", F.col("token").alias("form"), F.lit(0).cast("long").alias("seq"))
-    # round 1: the token itself and its one-rule forms
-    found, pending = _round(_apply_rules(frontier), lex,
-                            frontier.select("token", F.col("form").alias("cand"), "seq"))
-    rounds_found = [found]
-    rounds = 1
-    while rounds < max_rounds and not pending.isEmpty():
-        found, pending = _round(_apply_rules(pending), lex)
-        rounds_found.append(found)
-        rounds += 1
-    matched = rounds_found[0]
-    for r in rounds_found[1:]:
-        matched = matched.unionByName(r)
-    # tokens never matched keep their own form
-    out = toks.join(matched, "token", "left").select(
-        "token", F.coalesce("lemma", "token").alias("lemma"))
-    return out.unionByName(exc_part) if exc_part is not None else out
+                                F.col(exceptions.columns[1]).alias("_exc"))
+        listed = exc.groupBy("token").agg(F.collect_list("_exc").alias("_excs"))
+        toks = toks.join(listed, "token", "left")
+        exc_cands = F.concat(F.array(own), F.transform(
+            "_excs", lambda e, i: F.struct(e.alias("cand"), F.format_string("%09d", i + 1).alias("path"),
+                                           F.lit(1).alias("depth"))))
+        chains = F.when(F.col("_excs").isNotNull(), exc_cands).otherwise(chains)
+    cands = toks.select("token", F.inline(chains))
+    flagged = cands.join(lex, "cand", "left")
+    order = F.when(F.col("_hit"), F.struct(F.greatest("depth", F.lit(1)).alias("round"),
+                                           F.length("cand").alias("len"), F.col("path")))
+    best = flagged.groupBy("token").agg(F.min_by("cand", order).alias("lemma"))
+    return best.select("token", F.coalesce("lemma", "token").alias("lemma"))
 
 
 def lemma_changes(lemmas: DataFrame) -> DataFrame:

@@ -158,14 +158,14 @@ def train(df: DataFrame, cfg: TrainConfig | None = None):
     scale = ElementwiseProduct(scalingVec=DenseVector(idf.idf.toArray() + 1.0),
                                inputCol="tf", outputCol="tfidf")
     norm = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
-    indexer = StringIndexer(inputCol=cfg.label_col, outputCol="label",
+    indexer = StringIndexer(inputCol=cfg.label_col, outputCol="_label_idx",
                             stringOrderType="alphabetAsc").fit(trn)
-    feats = indexer.transform(norm.transform(scale.transform(tf))).select("features", "label")
+    feats = indexer.transform(norm.transform(scale.transform(tf))).select("features", "_label_idx")
     feats = feats.persist()
     n_train = feats.count()
     _lap("features")
     reg = cfg.reg_param if cfg.reg_param is not None else 1.0 / max(n_train, 1)
-    lr = LogisticRegression(featuresCol="features", labelCol="label", family="auto",
+    lr = LogisticRegression(featuresCol="features", labelCol="_label_idx", family="auto",
                             maxIter=cfg.max_iter, tol=cfg.tol, regParam=reg,
                             elasticNetParam=0.0, standardization=False, fitIntercept=True)
     lr_model = lr.fit(feats)
@@ -183,9 +183,3 @@ def evaluate(preds: DataFrame) -> dict[str, DataFrame]:
     """M8-M11 on (label, prediction)."""
     return {"accuracy": M.accuracy(preds), "confusion_matrix": M.confusion_matrix(preds),
             "classification_report": M.classification_report(preds)}
-
-
-def to_json_rows(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """One JSON object per row, as a DataFrame column ``value``."""
-    cols = cols or df.columns
-    return df.select(F.to_json(F.struct(*[F.col(f"`{c}`") for c in cols])).alias("value"))

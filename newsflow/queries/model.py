@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from newsflow.operators import features as FT
 from newsflow.operators.scoring import argmax_class, class_centroids, linear_scores
-from newsflow.plans.model import TextModel, TrainConfig, evaluate, to_json_rows, train
+from newsflow.plans.model import TextModel, TrainConfig, evaluate, train
+from newsflow.sources.news import to_json_rows
 from newsflow.queries import duck as D
 from newsflow.queries.features import cleaned
 from newsflow.session import staging_path

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from newsflow.queries import clean, features, metrics, model, profile, updates
+from newsflow.queries import clean, features, metrics, model, profile, sources, updates
 
 QUERIES: dict = {}
 SQL: dict = {}
 
-for _mod in (clean, profile, features, metrics, model, updates):
+for _mod in (clean, profile, features, metrics, model, updates, sources):
     QUERIES.update(_mod.QUERIES)
     SQL.update(_mod.SQL)

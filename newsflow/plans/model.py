@@ -124,14 +124,8 @@ def prepare(df: DataFrame, cfg: TrainConfig) -> DataFrame:
                     is_test(cfg.key, cfg.seed, cfg.test_fraction).alias("is_test"))
 
 
-def train(df: DataFrame, cfg: TrainConfig | None = None):
-    """Clean -> split -> fit features on train -> fit classifier -> evaluate.
-
-    Returns (TextModel, predictions on the test split). The cleaned, lemmatized
-    frame is checkpointed once (cuts lineage; every fit below re-reads it) and
-    the training features are cached for the iterative optimizer.
-    """
-    cfg = cfg or TrainConfig()
+def prepared(df: DataFrame, cfg: TrainConfig):
+    """Cleaned, lemmatized, split-flagged frame (checkpointed) and the lexicon."""
     _lap("start")
     prep = prepare(df, cfg).checkpoint()  # regex cleaning runs once
     _lap("clean")
@@ -146,31 +140,56 @@ def train(df: DataFrame, cfg: TrainConfig | None = None):
         prep = lemmatize_tokens(prep, cfg.key, changes)
     prep = prep.withColumn("terms", T.terms("tokens")).checkpoint()
     _lap("lemmatize")
-    trn = prep.where(~F.col("is_test"))
-    tst = prep.where(F.col("is_test"))
+    return prep, lexicon
 
+
+def fit_features(trn: DataFrame, cfg: TrainConfig):
+    """Vectorizer, idf+1 scaling, normaliser and label indexer fitted on ``trn``."""
     cv = CountVectorizer(inputCol="terms", outputCol="tf", binary=True,
                          minDF=cfg.min_df, vocabSize=cfg.vocab_size).fit(trn)
-    tf = cv.transform(trn)
     _lap("vectorizer fit")
-    idf = IDF(inputCol="tf", outputCol="_idf").fit(tf)
+    idf = IDF(inputCol="tf", outputCol="_idf").fit(cv.transform(trn))
     _lap("idf fit")
     scale = ElementwiseProduct(scalingVec=DenseVector(idf.idf.toArray() + 1.0),
                                inputCol="tf", outputCol="tfidf")
     norm = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
     indexer = StringIndexer(inputCol=cfg.label_col, outputCol="_label_idx",
                             stringOrderType="alphabetAsc").fit(trn)
-    feats = indexer.transform(norm.transform(scale.transform(tf))).select("features", "_label_idx")
-    feats = feats.persist()
+    return cv, scale, norm, indexer
+
+
+def feature_frame(trn: DataFrame, stages, extra: list | None = None) -> DataFrame:
+    cv, scale, norm, indexer = stages
+    out = indexer.transform(norm.transform(scale.transform(cv.transform(trn))))
+    return out.select("features", "_label_idx", *(extra or []))
+
+
+def classifier(cfg: TrainConfig, n_train: int) -> LogisticRegression:
+    reg = cfg.reg_param if cfg.reg_param is not None else 1.0 / max(n_train, 1)
+    return LogisticRegression(featuresCol="features", labelCol="_label_idx", family="auto",
+                              maxIter=cfg.max_iter, tol=cfg.tol, regParam=reg,
+                              elasticNetParam=0.0, standardization=False, fitIntercept=True)
+
+
+def train(df: DataFrame, cfg: TrainConfig | None = None):
+    """Clean -> split -> fit features on train -> fit classifier -> evaluate.
+
+    Returns (TextModel, predictions on the test split). The cleaned, lemmatized
+    frame is checkpointed once (cuts lineage; every fit below re-reads it) and
+    the training features are cached for the iterative optimizer.
+    """
+    cfg = cfg or TrainConfig()
+    prep, lexicon = prepared(df, cfg)
+    trn = prep.where(~F.col("is_test"))
+    tst = prep.where(F.col("is_test"))
+    stages = fit_features(trn, cfg)
+    feats = feature_frame(trn, stages).persist()
     n_train = feats.count()
     _lap("features")
-    reg = cfg.reg_param if cfg.reg_param is not None else 1.0 / max(n_train, 1)
-    lr = LogisticRegression(featuresCol="features", labelCol="_label_idx", family="auto",
-                            maxIter=cfg.max_iter, tol=cfg.tol, regParam=reg,
-                            elasticNetParam=0.0, standardization=False, fitIntercept=True)
-    lr_model = lr.fit(feats)
+    lr_model = classifier(cfg, n_train).fit(feats)
     _lap(f"lr fit ({lr_model.summary.totalIterations} iterations)")
     feats.unpersist()
+    cv, scale, norm, indexer = stages
     to_label = IndexToString(inputCol="prediction", outputCol=PRED, labels=indexer.labels)
     pipe = PipelineModel(stages=[cv, scale, norm, lr_model, to_label])
     model = TextModel(pipe, lexicon, cfg.key, cfg.text_col)

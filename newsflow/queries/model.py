@@ -131,3 +131,13 @@ b AS (SELECT doc_id, first(lang ORDER BY score DESC, lang ASC) AS prediction FRO
 SELECT te.doc_id, coalesce(b.prediction, (SELECT min(lang) FROM tr)) AS prediction
 FROM te LEFT JOIN b ON te.doc_id = b.doc_id""",
 }
+
+
+def q_grid_search(spark, sf):
+    """3-point regularisation grid, 2-fold cross-validation on the train split."""
+    from newsflow.plans.tuning import grid_search
+    res, _ = grid_search(documents(spark, sf), TrainConfig(max_iter=30), folds=2)
+    return res
+
+
+QUERIES["grid_search"] = q_grid_search

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from newsflow.queries import clean, features, metrics, model, profile, sources, updates
+from newsflow.queries import clean, features, metrics, model, profile, sources, stream, updates
 
 QUERIES: dict = {}
 SQL: dict = {}
 
-for _mod in (clean, profile, features, metrics, model, updates, sources):
+for _mod in (clean, profile, features, metrics, model, updates, sources, stream):
     QUERIES.update(_mod.QUERIES)
     SQL.update(_mod.SQL)

@@ -82,73 +82,90 @@ def distinct_values(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 
 # --- P8 summary statistics ----------------------------------------------------
-def exact_quantiles(df: DataFrame, column: str, probs: list[float],
-                    n_ranges: int | None = None) -> DataFrame:
-    """Exact linearly-interpolated quantiles, computed without a single-task sort.
-
-    1. value counts (partial aggregation, so heavy repeats collapse early);
-    2. range-partition the distinct values and total each range (one row per
-       range, tiny);
-    3. running count inside each range plus the range's offset gives the rank
-       interval of every distinct value;
-    4. the values covering ranks floor(h) and ceil(h), h = (n-1)p, are picked
-       with a join against the small table of targets and interpolated.
-    Returns (prob, quantile).
+def exact_quantiles_multi(df: DataFrame, columns: list[str], probs: list[float],
+                          n_ranges: int | None = None) -> DataFrame:
+    """Exact linearly-interpolated quantiles of several columns in one pass.
+
+    1. (column, value) counts (partial aggregation: heavy repeats collapse);
+    2. range-partition by (column, value) and total each range (tiny table);
+    3. running count inside each range plus the range's offset within its
+       column gives every distinct value its rank interval;
+    4. the values at ranks floor(h) and ceil(h), h = (n-1)p, are picked by an
+       equi-join on the column plus a rank-interval filter, and interpolated.
+    No step sorts all values in one task. Returns (column_name, prob, quantile).
     """
     spark = df.sparkSession
     n_ranges = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    vals = (df.select(F.col(column).cast("double").alias("v")).where(F.col("v").isNotNull())
-            .groupBy("v").agg(F.count(F.lit(1)).alias("c")))
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
+        for c in columns])).alias("cv")).select("cv.*").where(F.col("v").isNotNull())
+    vals = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c"))
     # materialise once: range bounds come from a sample, so every later use
     # must see the same range ids (checkpoint also cuts the lineage)
-    ranged = (vals.repartitionByRange(n_ranges, "v")
+    ranged = (vals.repartitionByRange(n_ranges, "column_name", "v")
               .withColumn("rid", F.spark_partition_id()).checkpoint())
-    totals = ranged.groupBy("rid").agg(F.sum("c").alias("rc"))
+    totals = ranged.groupBy("column_name", "rid").agg(F.sum("c").alias("rc"))
+    wc = Window.partitionBy("column_name")
     offsets = totals.select(
-        "rid", (F.sum("rc").over(Window.orderBy("rid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("off"), F.sum("rc").over(Window.partitionBy()).alias("n"))
-    w = Window.partitionBy("rid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        "column_name", "rid",
+        F.sum("rc").over(wc.orderBy("rid").rowsBetween(Window.unboundedPreceding, -1)).alias("off"),
+        F.sum("rc").over(wc).alias("n"))
+    w = Window.partitionBy("column_name", "rid").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     cum = (ranged.withColumn("hi", F.sum("c").over(w))
-           .join(F.broadcast(offsets), "rid")
-           .select("v", (F.coalesce("off", F.lit(0)) + F.col("hi") - F.col("c")).alias("lo_rank"),
+           .join(F.broadcast(offsets), ["column_name", "rid"])  # one row per range
+           .select("column_name", "v",
+                   (F.coalesce("off", F.lit(0)) + F.col("hi") - F.col("c")).alias("lo_rank"),
                    (F.coalesce("off", F.lit(0)) + F.col("hi")).alias("hi_rank")))
-    # one row per requested probability (offsets has one row per range)
-    tg = (offsets.agg(F.max("n").alias("n"))
-          .select(F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"), "n")
-          .select("prob", ((F.col("n") - 1) * F.col("prob")).alias("h"))
-          .select("prob", "h", F.floor("h").alias("k1"), F.ceil("h").alias("k2")))
-    # value at 0-based rank k is the one with lo_rank <= k < hi_rank
-    pick = lambda k: (cum.join(F.broadcast(tg), (cum.lo_rank <= tg[k]) & (tg[k] < cum.hi_rank))
-                      .select("prob", "h", F.col("v").alias(k)))
+    tg = (offsets.groupBy("column_name").agg(F.max("n").alias("n"))
+          .select("column_name", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"),
+                  "n")
+          .select("column_name", "prob", ((F.col("n") - 1) * F.col("prob")).alias("h"))
+          .select("column_name", "prob", "h", F.floor("h").alias("k1"), F.ceil("h").alias("k2")))
+
+    def pick(k):
+        # value at 0-based rank k: lo_rank <= k < hi_rank (targets: columns x probs rows)
+        t = F.broadcast(tg.select("column_name", "prob", "h", F.col(k).alias("k")))
+        return (cum.join(t, "column_name").where((F.col("lo_rank") <= F.col("k"))
+                                                 & (F.col("k") < F.col("hi_rank")))
+                .select("column_name", "prob", "h", F.col("v").alias(k)))
+
     a, b = pick("k1"), pick("k2").drop("h")
-    return (a.join(b, "prob")
-            .select("prob", (F.col("k1") + (F.col("h") - F.floor("h")) * (F.col("k2") - F.col("k1")))
+    return (a.join(b, ["column_name", "prob"])
+            .select("column_name", "prob",
+                    (F.col("k1") + (F.col("h") - F.floor("h")) * (F.col("k2") - F.col("k1")))
                     .alias("quantile")))
 
 
+def exact_quantiles(df: DataFrame, column: str, probs: list[float],
+                    n_ranges: int | None = None) -> DataFrame:
+    """(prob, quantile) of one column; see ``exact_quantiles_multi``."""
+    return exact_quantiles_multi(df, [column], probs, n_ranges).select("prob", "quantile")
+
+
 def describe_numeric(df: DataFrame, columns: list[str] | None = None,
                      digits: int = 6) -> DataFrame:
     """P8 (numeric): count, mean, std (sample), min, 25%, 50%, 75%, max.
 
-    Long form (column, stat, value); moments in one aggregation pass, exact
-    quantiles via ``exact_quantiles``.
+    Long form (column, stat, value): all moments in one aggregation pass, all
+    quantiles in one ``exact_quantiles_multi`` pass.
     """
     cols = columns or [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    parts = []
+    stats = ("count", "mean", "std", "min", "max")
+    aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        m = df.agg(F.count(x).cast("double").alias("count"), F.avg(x).alias("mean"),
-                   F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max"))
-        parts.append(m.unpivot([], ["count", "mean", "std", "min", "max"], "stat", "value")
-                     .select(_lit_col(c), "stat", "value"))
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
-        parts.append(q.select(_lit_col(c),
-                              F.concat((F.col("prob") * 100).cast("int").cast("string"), F.lit("%"))
-                              .alias("stat"), F.col("quantile").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.withColumn("value", F.round("value", digits))
+        aggs += [F.count(x).cast("double").alias(f"{c}|count"), F.avg(x).alias(f"{c}|mean"),
+                 F.stddev_samp(x).alias(f"{c}|std"), F.min(x).alias(f"{c}|min"),
+                 F.max(x).alias(f"{c}|max")]
+    wide = df.agg(*aggs)
+    moments = (wide.unpivot([], [f"`{c}|{s}`" for c in cols for s in stats], "key", "value")
+               .select(F.split("key", r"\|").getItem(0).alias("column_name"),
+                       F.split("key", r"\|").getItem(1).alias("stat"), "value"))
+    q = exact_quantiles_multi(df, cols, [0.25, 0.5, 0.75])
+    quant = q.select("column_name",
+                     F.concat((F.col("prob") * 100).cast("int").cast("string"), F.lit("%")).alias("stat"),
+                     F.col("quantile").alias("value"))
+    return moments.unionByName(quant).withColumn("value", F.round("value", digits))
 
 
 def describe_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

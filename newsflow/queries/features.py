@@ -18,6 +18,12 @@ def cleaned(spark, sf):
     return clean_text(documents(spark, sf).select(KEY, "lang", "text"), processed_col=None)
 
 
+def cleaned_once(spark, sf):
+    """Cleaned tokens materialised once, for queries that read them in several
+    branches (the regex work is the expensive part; tokens are smaller than text)."""
+    return cleaned(spark, sf).select(KEY, "lang", "tokens").checkpoint()
+
+
 def corpus_lemmas(df):
     """Lemma map with the corpus vocabulary as lexicon (the default lexicon)."""
     toks = df.select(F.explode("tokens").alias("token")).distinct()
@@ -29,7 +35,7 @@ def q_lemma_table(spark, sf):
 
 
 def q_lemmatize(spark, sf):
-    df = cleaned(spark, sf).select(KEY, "lang", "tokens").checkpoint()  # clean once
+    df = cleaned_once(spark, sf)
     lem = lemmatize_tokens(df, KEY, lemma_changes(corpus_lemmas(df)))
     return lem.select(KEY, "lang", T.join_tokens("tokens").alias("processed_text"))
 
@@ -54,7 +60,7 @@ def q_idf(spark, sf):
 
 
 def q_tfidf_l2(spark, sf):
-    tr = _train(spark, sf)
+    tr = cleaned_once(spark, sf).where(~FT.is_test(KEY))
     idf = FT.idf_from_docs(tr, KEY)
     return FT.tfidf(FT.doc_terms(tr, KEY), idf, KEY).select(
         KEY, "term", F.round("weight", 6).alias("weight"))

@@ -14,7 +14,7 @@ from newsflow.operators.scoring import argmax_class, class_centroids, linear_sco
 from newsflow.plans.model import TextModel, TrainConfig, evaluate, train
 from newsflow.sources.news import to_json_rows
 from newsflow.queries import duck as D
-from newsflow.queries.features import cleaned
+from newsflow.queries.features import cleaned, cleaned_once
 from newsflow.session import staging_path
 from newsflow.sources.tables import documents, read_table, spread
 
@@ -82,7 +82,7 @@ def q_json_rows(spark, sf):
 def q_linear_score(spark, sf):
     """Class centroids of train TF-IDF as weights; test documents scored
     by sparse dot product; argmax, ties and empty documents to the smallest class."""
-    c = cleaned(spark, sf)
+    c = cleaned_once(spark, sf)
     flag = FT.is_test("doc_id")
     trn = c.where(~flag)
     idf = FT.idf_from_docs(trn, "doc_id")

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from newsflow.session import materialize
 
 # Noun suffix rules (old ending -> new ending) in rule order.
 NOUN_RULES = (
@@ -103,7 +104,7 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame,
 def lemma_changes(lemmas: DataFrame) -> DataFrame:
     """Only the tokens whose lemma differs: the map that ``lemmatize_tokens``
     needs (usually a small fraction of the vocabulary), materialised."""
-    return lemmas.where(F.col("token") != F.col("lemma")).checkpoint()
+    return materialize(lemmas.where(F.col("token") != F.col("lemma")))
 
 
 def lemmatize_tokens(df: DataFrame, key, lemmas: DataFrame, tokens: str = "tokens") -> DataFrame:

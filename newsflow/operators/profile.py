@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
+from newsflow.session import materialize
 
 
 def _lit_col(name: str):
@@ -94,16 +95,16 @@ def exact_quantiles_multi(df: DataFrame, columns: list[str], probs: list[float],
        equi-join on the column plus a rank-interval filter, and interpolated.
     No step sorts all values in one task. Returns (column_name, prob, quantile).
     """
-    spark = df.sparkSession
-    n_ranges = n_ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
     long = df.select(F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
         for c in columns])).alias("cv")).select("cv.*").where(F.col("v").isNotNull())
     vals = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c"))
     # materialise once: range bounds come from a sample, so every later use
     # must see the same range ids (checkpoint also cuts the lineage)
-    ranged = (vals.repartitionByRange(n_ranges, "column_name", "v")
-              .withColumn("rid", F.spark_partition_id()).checkpoint())
+    # without an explicit count AQE may merge adjacent ranges, keeping their order
+    by_range = (vals.repartitionByRange(n_ranges, "column_name", "v") if n_ranges
+                else vals.repartitionByRange("column_name", "v"))
+    ranged = materialize(by_range.withColumn("rid", F.spark_partition_id()))
     totals = ranged.groupBy("column_name", "rid").agg(F.sum("c").alias("rc"))
     wc = Window.partitionBy("column_name")
     offsets = totals.select(

@@ -32,6 +32,7 @@ from newsflow.operators import metrics as M
 from newsflow.operators.clean import clean_text
 from newsflow.operators.features import is_test
 from newsflow.operators.lemma import lemma_changes, lemma_table, lemmatize_tokens
+from newsflow.session import materialize
 
 PRED = "prediction_label"
 _TIMING = bool(os.environ.get("NEWSFLOW_TIMING"))
@@ -78,7 +79,7 @@ class TextModel:
         """
         c = clean_text(df, self.text_col, processed_col=None).drop(self.text_col)
         if self.lexicon is not None:
-            c = c.checkpoint()
+            c = materialize(c)
             toks = c.select(F.explode("tokens").alias("token")).distinct()
             c = lemmatize_tokens(c, self.key, lemma_changes(lemma_table(toks, self.lexicon)))
         return c.withColumn("terms", T.terms("tokens"))
@@ -127,18 +128,18 @@ def prepare(df: DataFrame, cfg: TrainConfig) -> DataFrame:
 def prepared(df: DataFrame, cfg: TrainConfig):
     """Cleaned, lemmatized, split-flagged frame (checkpointed) and the lexicon."""
     _lap("start")
-    prep = prepare(df, cfg).checkpoint()  # regex cleaning runs once
+    prep = materialize(prepare(df, cfg))  # regex cleaning runs once
     _lap("clean")
     lexicon = None
     if cfg.lemmas:
-        lexicon = (prep.where(~F.col("is_test")).select(F.explode("tokens").alias("form"))
-                   .distinct().checkpoint())
+        lexicon = materialize(prep.where(~F.col("is_test"))
+                              .select(F.explode("tokens").alias("form")).distinct())
         _lap("lexicon")
         toks = prep.select(F.explode("tokens").alias("token")).distinct()
         changes = lemma_changes(lemma_table(toks, lexicon))
         _lap("lemma table")
         prep = lemmatize_tokens(prep, cfg.key, changes)
-    prep = prep.withColumn("terms", T.terms("tokens")).checkpoint()
+    prep = materialize(prep.withColumn("terms", T.terms("tokens")))
     _lap("lemmatize")
     return prep, lexicon
 

@@ -10,6 +10,7 @@ from newsflow.operators.clean import clean_text
 from newsflow.operators.lemma import NOUN_RULES, lemma_changes, lemma_table, lemmatize_tokens
 from newsflow.queries import duck as D
 from newsflow.sources.tables import documents
+from newsflow.session import materialize
 
 KEY = "doc_id"
 
@@ -21,7 +22,7 @@ def cleaned(spark, sf):
 def cleaned_once(spark, sf):
     """Cleaned tokens materialised once, for queries that read them in several
     branches (the regex work is the expensive part; tokens are smaller than text)."""
-    return cleaned(spark, sf).select(KEY, "lang", "tokens").checkpoint()
+    return materialize(cleaned(spark, sf).select(KEY, "lang", "tokens"))
 
 
 def corpus_lemmas(df):

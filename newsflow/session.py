@@ -56,6 +56,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def materialize(df):
+    """Checkpoint ``df`` into the shared checkpoint folder (eager).
+
+    Cuts the lineage so later stages (and recovery after a lost executor)
+    read the written files instead of recomputing the plan.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and staged tables (see module doc)."""
     return ensure_checkpoint_dir(spark)

@@ -203,3 +203,15 @@ def evaluate(preds: DataFrame) -> dict[str, DataFrame]:
     """M8-M11 on (label, prediction)."""
     return {"accuracy": M.accuracy(preds), "confusion_matrix": M.confusion_matrix(preds),
             "classification_report": M.classification_report(preds)}
+
+
+def texts_frame(spark, texts: list[str], key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """A small list of caller texts as a (key, text) DataFrame."""
+    return spark.createDataFrame(list(enumerate(texts)), f"{key} long, {text_col} string")
+
+
+def predict_text(spark, model: TextModel, text: str) -> dict:
+    """One text -> {"Content": cleaned content, "Predicted_category": label}."""
+    m = model.with_input("doc_id", "text")
+    row = m.score_rows(texts_frame(spark, [text])).first()
+    return {"Content": row["Content"], "Predicted_category": row["Predicted Category"]}

@@ -70,3 +70,11 @@ def test_stream_equals_batch(spark, fitted, scratch):
     s = sorted(scored(spark, f"{scratch}/out").select("item_id", "Content", "Predicted Category").collect())
     b = sorted(m.score_rows(bench).collect())
     assert s == b and len(s) == bench.count()
+
+
+def test_predict_text_single(spark, fitted):
+    from newsflow.plans.model import predict_text
+    model, _ = fitted
+    out = predict_text(spark, model, "sachin score 100.he played well .he get a trophy")
+    assert out["Content"] == "sachin score 100.he played well.he get a trophy"
+    assert out["Predicted_category"] in set(model.pipeline.stages[-1].getLabels())

@@ -51,8 +51,8 @@ def rule_chains(token) -> "Column":
 
     Array of (cand, path, depth): depth = number of rules applied, path = the
     rule numbers applied in order (so paths of one depth sort in candidate
-    order). Rules shorten a form or end the chain, so depth <= length(token);
-    the whole closure is one higher-order expression per token.
+    order). Only tokens ending in 's' or 'men' have any rule form; the
+    whole closure is one higher-order expression per token.
     """
     t = F.col(token) if isinstance(token, str) else token
     init = F.struct(
@@ -66,7 +66,11 @@ def rule_chains(token) -> "Column":
             F.concat(acc["out"], F.transform(nxt, lambda x: F.struct(
                 x["cand"].alias("cand"), x["path"].alias("path"), d.alias("depth")))).alias("out"))
 
-    return F.aggregate(F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1))), init, step)["out"]
+    # a chain continues only through rules that leave a trailing 's', and each
+    # such step consumes an 's': depth <= (number of 's' in the token) + 1
+    n_s = F.length(t) - F.length(F.regexp_replace(t, "s", ""))
+    closure = F.aggregate(F.sequence(F.lit(1), n_s + 1), init, step)["out"]
+    return F.when(t.rlike("(s|men)$"), closure).otherwise(F.array().cast(f"array<{_CAND}>"))
 
 
 def lemma_table(tokens: DataFrame, lexicon: DataFrame,

@@ -111,23 +111,37 @@ def lemma_changes(lemmas: DataFrame) -> DataFrame:
     return materialize(lemmas.where(F.col("token") != F.col("lemma")))
 
 
-def lemmatize_tokens(df: DataFrame, key, lemmas: DataFrame, tokens: str = "tokens") -> DataFrame:
+# Without an exception table only tokens with a rule suffix can change.
+RULE_SUFFIX = "(s|men)$"
+
+
+def lemmatize_tokens(df: DataFrame, key, lemmas: DataFrame, tokens: str = "tokens",
+                     only: str | None = None) -> DataFrame:
     """Replace every token by its lemma; result tokens distinct and sorted.
 
     ``key`` (a column name or list of names) must identify rows. One row per
     (key, token) joins the (token, lemma) map -- AQE broadcasts the map when
     its measured size is small and otherwise keeps a skew-split sort-merge
-    join -- then rows regroup by ``key``. The row's other columns ride along
-    only on its first token, so long texts are not copied per token; a group
-    is one document.
+    join -- then rows regroup by ``key`` (a group is one document). With
+    ``only`` (a regex, e.g. ``RULE_SUFFIX``), just the tokens that can change
+    are exploded; the rest, and the row's other columns, ride along once per
+    row on its first exploded token, so neither long texts nor unchanged
+    tokens are copied per token.
     """
     keys = [key] if isinstance(key, str) else list(key)
     rest = [c for c in df.columns if c not in keys and c != tokens]
-    ex = df.select(*keys, F.struct(*rest).alias("_rest") if rest else F.lit(None).alias("_rest"),
-                   F.posexplode_outer(tokens).alias("_pos", "token"))
+    toks = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+    if only:
+        keep = F.filter(toks, lambda t: ~t.rlike(only))
+        move = F.filter(toks, lambda t: t.rlike(only))
+    else:
+        keep, move = F.array().cast("array<string>"), toks
+    ex = df.select(*keys, F.struct(*[F.col(c) for c in rest], keep.alias("_keep")).alias("_rest"),
+                   F.posexplode_outer(move).alias("_pos", "token"))
     ex = ex.withColumn("_rest", F.when(F.coalesce(F.col("_pos"), F.lit(0)) == 0, F.col("_rest")))
     mapped = (ex.join(lemmas.select("token", "lemma"), "token", "left")
               .select(*keys, "_rest", F.coalesce("lemma", "token").alias("lemma")))
     g = mapped.groupBy(*keys).agg(F.first("_rest", ignorenulls=True).alias("_rest"),
-                                  F.array_sort(F.collect_set("lemma")).alias(tokens))
-    return g.select(*keys, *[F.col(f"_rest.{c}").alias(c) for c in rest], tokens)
+                                  F.collect_set("lemma").alias("_moved"))
+    merged = F.array_sort(F.array_distinct(F.concat("_rest._keep", "_moved")))
+    return g.select(*keys, *[F.col(f"_rest.{c}").alias(c) for c in rest], merged.alias(tokens))

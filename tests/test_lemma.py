@@ -53,3 +53,16 @@ def test_lemmatize_tokens_regroups_distinct(spark):
     assert out[1].tokens == ["cat", "dog"] and out[1].other == "x"
     assert out[2].tokens == [] and out[2].other == "y"
     assert out[3].tokens == []
+
+
+def test_lemmatize_only_suffix_tokens_same_result(spark):
+    from newsflow.operators.lemma import RULE_SUFFIX
+    df = spark.createDataFrame([(1, ["cats", "cat", "women", "dog", "glasses"]), (2, ["x"]), (3, [])],
+                               "doc_id int, tokens array<string>")
+    lex = spark.createDataFrame([(w,) for w in ["cat", "woman", "glass", "dog"]], "form string")
+    toks = df.selectExpr("explode(tokens) AS token").distinct()
+    lt = lemma_table(toks, lex)
+    a = {r.doc_id: r.tokens for r in lemmatize_tokens(df, "doc_id", lt).collect()}
+    b = {r.doc_id: r.tokens for r in lemmatize_tokens(df, "doc_id", lt, only=RULE_SUFFIX).collect()}
+    assert a == b
+    assert a[1] == ["cat", "dog", "glass", "woman"] and a[2] == ["x"] and a[3] == []

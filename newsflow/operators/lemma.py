@@ -105,6 +105,19 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame,
     return best.select("token", F.coalesce("lemma", "token").alias("lemma"))
 
 
+def changed_lemmas(tokens: DataFrame, lexicon: DataFrame,
+                   exceptions: DataFrame | None = None) -> DataFrame:
+    """(token, lemma) for the tokens whose lemma differs, materialised.
+
+    Without exceptions only tokens with a rule suffix can change, so only
+    those go through the rule closure (the lexicon stays complete).
+    """
+    t = tokens.select(F.col(tokens.columns[0]).alias("token"))
+    if exceptions is None:
+        t = t.where(F.col("token").rlike(RULE_SUFFIX))
+    return lemma_changes(lemma_table(t, lexicon, exceptions))
+
+
 def lemma_changes(lemmas: DataFrame) -> DataFrame:
     """Only the tokens whose lemma differs: the map that ``lemmatize_tokens``
     needs (usually a small fraction of the vocabulary), materialised."""

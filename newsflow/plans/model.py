@@ -31,7 +31,7 @@ from newsflow.functions import text as T
 from newsflow.operators import metrics as M
 from newsflow.operators.clean import clean_text
 from newsflow.operators.features import is_test
-from newsflow.operators.lemma import RULE_SUFFIX, lemma_changes, lemma_table, lemmatize_tokens
+from newsflow.operators.lemma import RULE_SUFFIX, changed_lemmas, lemmatize_tokens
 from newsflow.session import materialize
 
 PRED = "prediction_label"
@@ -81,8 +81,7 @@ class TextModel:
         if self.lexicon is not None:
             c = materialize(c)
             toks = c.select(F.explode("tokens").alias("token")).distinct()
-            c = lemmatize_tokens(c, self.key, lemma_changes(lemma_table(toks, self.lexicon)),
-                                     only=RULE_SUFFIX)
+            c = lemmatize_tokens(c, self.key, changed_lemmas(toks, self.lexicon), only=RULE_SUFFIX)
         return c.withColumn("terms", T.terms("tokens"))
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -137,7 +136,7 @@ def prepared(df: DataFrame, cfg: TrainConfig):
                               .select(F.explode("tokens").alias("form")).distinct())
         _lap("lexicon")
         toks = prep.select(F.explode("tokens").alias("token")).distinct()
-        changes = lemma_changes(lemma_table(toks, lexicon))
+        changes = changed_lemmas(toks, lexicon)
         _lap("lemma table")
         prep = lemmatize_tokens(prep, cfg.key, changes, only=RULE_SUFFIX)
     prep = materialize(prep.withColumn("terms", T.terms("tokens")))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import text as T
 from newsflow.operators import features as FT
 from newsflow.operators.clean import clean_text
-from newsflow.operators.lemma import (NOUN_RULES, RULE_SUFFIX, lemma_changes, lemma_table,
+from newsflow.operators.lemma import (NOUN_RULES, RULE_SUFFIX, changed_lemmas, lemma_table,
                                       lemmatize_tokens)
 from newsflow.queries import duck as D
 from newsflow.sources.tables import documents
@@ -38,7 +38,8 @@ def q_lemma_table(spark, sf):
 
 def q_lemmatize(spark, sf):
     df = cleaned_once(spark, sf)
-    lem = lemmatize_tokens(df, KEY, lemma_changes(corpus_lemmas(df)), only=RULE_SUFFIX)
+    toks = df.select(F.explode("tokens").alias("token")).distinct()
+    lem = lemmatize_tokens(df, KEY, changed_lemmas(toks, toks), only=RULE_SUFFIX)
     return lem.select(KEY, "lang", T.join_tokens("tokens").alias("processed_text"))
 
 

@@ -46,7 +46,7 @@ def _rule_outputs(f):
     return F.filter(F.array(*outs), lambda x: x.isNotNull())
 
 
-def rule_chains(token) -> "Column":
+def rule_chains(token) -> Column:
     """Every form reachable from ``token`` by repeated rule application.
 
     Array of (cand, path, depth): depth = number of rules applied, path = the

@@ -2,8 +2,6 @@
 
 import math
 
-from pyspark.sql import functions as F
-
 from newsflow.operators import features as FT
 from newsflow.operators import metrics as M
 

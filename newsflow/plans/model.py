@@ -59,6 +59,10 @@ class TrainConfig:
     tol: float = 1e-6
     reg_param: float | None = None     # None -> 1 / n_train
     lemmas: bool = True
+    # Spark ML's multinomial solver moves a dense classes x terms matrix every
+    # iteration (broadcast out, one gradient per task back); past this many
+    # coefficients the fit is refused with a hint instead of running out of memory.
+    max_coefficients: int = 1 << 27
     extra: dict = field(default_factory=dict)
 
 
@@ -159,6 +163,16 @@ def fit_features(trn: DataFrame, cfg: TrainConfig):
     return cv, scale, norm, indexer
 
 
+def check_model_size(stages, cfg: TrainConfig) -> None:
+    cv, _, _, indexer = stages
+    n_terms, n_classes = len(cv.vocabulary), len(indexer.labels)
+    n_coef = n_terms * (n_classes if n_classes > 2 else 1)
+    if n_coef > cfg.max_coefficients:
+        raise ValueError(
+            f"{n_terms} terms x {n_classes} classes = {n_coef} coefficients exceeds "
+            f"max_coefficients={cfg.max_coefficients}; raise min_df or lower vocab_size")
+
+
 def feature_frame(trn: DataFrame, stages, extra: list | None = None) -> DataFrame:
     cv, scale, norm, indexer = stages
     out = indexer.transform(norm.transform(scale.transform(cv.transform(trn))))
@@ -184,6 +198,7 @@ def train(df: DataFrame, cfg: TrainConfig | None = None):
     trn = prep.where(~F.col("is_test"))
     tst = prep.where(F.col("is_test"))
     stages = fit_features(trn, cfg)
+    check_model_size(stages, cfg)
     feats = feature_frame(trn, stages).persist()
     n_train = feats.count()
     _lap("features")

@@ -72,14 +72,16 @@ def shape(df: DataFrame) -> DataFrame:
                   F.lit(len(df.columns)).cast("bigint").alias("n_cols"))
 
 
+def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, value as string) for every non-null cell of ``cols``, one scan."""
+    return (df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+        for c in cols])).alias("cv")).select("cv.*"))
+
+
 def distinct_values(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Distinct values of each column, long form (value as string)."""
-    cols = columns or df.columns
-    parts = [df.select(_lit_col(c), F.col(c).cast("string").alias("value")).distinct() for c in cols]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Distinct values of each column, long form (value as string), one scan."""
+    return _long_values(df, columns or df.columns).distinct()
 
 
 # --- P8 summary statistics ----------------------------------------------------
@@ -170,18 +172,15 @@ def describe_numeric(df: DataFrame, columns: list[str] | None = None,
 
 
 def describe_text(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """P8 (object columns): count, unique, top (most frequent, ties -> smallest), freq."""
+    """P8 (object columns): count, unique, top (most frequent, ties -> smallest), freq.
+
+    One scan: (column, value) counts, then one small aggregation per column.
+    """
     cols = columns or [f.name for f in df.schema.fields if not isinstance(f.dataType, NumericType)]
-    parts = []
-    for c in cols:
-        vc = df.where(F.col(c).isNotNull()).groupBy(F.col(c).cast("string").alias("v")).count()
-        parts.append(vc.agg(
-            _lit_col(c),
-            F.sum("count").cast("bigint").alias("count"),
-            F.count(F.lit(1)).alias("unique"),
-            F.min_by("v", F.struct(-F.col("count"), F.col("v"))).alias("top"),
-            F.max("count").alias("freq")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    vc = (_long_values(df, cols).where(F.col("value").isNotNull())
+          .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n")))
+    return vc.groupBy("column_name").agg(
+        F.sum("n").cast("bigint").alias("count"),
+        F.count(F.lit(1)).alias("unique"),
+        F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("top"),
+        F.max("n").alias("freq"))

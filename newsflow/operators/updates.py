@@ -16,9 +16,9 @@ LOG_TIME_FORMAT = "hh:mm a, yyyy-MM-dd"
 
 
 def collection_counts(data: DataFrame, collection: Column, ts: Column) -> DataFrame:
-    """(collection, first_seen, n_rows) from the rows themselves (partial aggregation)."""
+    """(collection, first_seen, last_seen, n_rows) from the rows themselves (partial aggregation)."""
     return data.groupBy(collection.alias("collection")).agg(
-        F.min(ts).alias("first_seen"), F.count(F.lit(1)).alias("n_rows"))
+        F.min(ts).alias("first_seen"), F.max(ts).alias("last_seen"), F.count(F.lit(1)).alias("n_rows"))
 
 
 def new_collections(listing: DataFrame, known: DataFrame) -> DataFrame:

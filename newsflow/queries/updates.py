@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsflow.operators import updates as U
+from newsflow.session import materialize
 from newsflow.sources.tables import read_table
 
 PREV_DAYS = 7
@@ -32,8 +33,8 @@ def _listing(counts, cutoff):
 
 def _snapshots(spark, sf):
     ev = _events(spark, sf)
-    counts = _counts(ev)
-    t_now = ev.agg(F.max("ts")).scalar()
+    counts = materialize(_counts(ev))  # one row per collection; read by several branches
+    t_now = counts.agg(F.max("last_seen")).scalar()  # newest event, from the small table
     t_prev = t_now - F.expr(f"INTERVAL {PREV_DAYS} DAYS")
     return ev, counts, t_now, t_prev
 

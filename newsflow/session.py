@@ -15,6 +15,20 @@ from pyspark.sql import SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
+# Settings this engine's plans are designed around when run on a cluster
+# (the platform owns the session; these are the values to ask for).
+CLUSTER_CONF = {
+    "spark.sql.adaptive.enabled": "true",                       # runtime re-planning
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",  # post-shuffle partition target
+    "spark.sql.adaptive.skewJoin.enabled": "true",              # split hot-term join partitions
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",     # measured-size broadcast only
+    "spark.sql.autoBroadcastJoinThreshold": "-1",               # no broadcast from static estimates
+    "spark.sql.files.maxPartitionBytes": "256m",                # scan split size
+    "spark.sql.shuffle.partitions": "4000",                     # upper bound; AQE coalesces
+    "spark.sql.parquet.filterPushdown": "true",
+}
+
 
 def get_spark(master: str | None = None, cores: int | None = None,
               app: str = "newsflow", shuffle_partitions: int | None = None) -> SparkSession:

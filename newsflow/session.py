@@ -27,6 +27,7 @@ CLUSTER_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",                # scan split size
     "spark.sql.shuffle.partitions": "4000",                     # upper bound; AQE coalesces
     "spark.sql.parquet.filterPushdown": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # drop unused checkpoints
 }
 
 
@@ -50,6 +51,7 @@ def get_spark(master: str | None = None, cores: int | None = None,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .config("spark.driver.memory", os.environ.get("NEWSFLOW_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()

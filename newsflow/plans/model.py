@@ -136,11 +136,12 @@ def prepared(df: DataFrame, cfg: TrainConfig):
     _lap("clean")
     lexicon = None
     if cfg.lemmas:
-        lexicon = materialize(prep.where(~F.col("is_test"))
-                              .select(F.explode("tokens").alias("form")).distinct())
+        # one pass: every distinct token, flagged when a training document has it
+        seen = materialize(prep.select(F.explode("tokens").alias("token"), "is_test")
+                           .groupBy("token").agg(F.min(F.col("is_test").cast("int")).alias("_t")))
+        lexicon = seen.where(F.col("_t") == 0).select(F.col("token").alias("form"))
         _lap("lexicon")
-        toks = prep.select(F.explode("tokens").alias("token")).distinct()
-        changes = changed_lemmas(toks, lexicon)
+        changes = changed_lemmas(seen.select("token"), lexicon)
         _lap("lemma table")
         prep = lemmatize_tokens(prep, cfg.key, changes, only=RULE_SUFFIX)
     prep = materialize(prep.withColumn("terms", T.terms("tokens")))
@@ -149,23 +150,27 @@ def prepared(df: DataFrame, cfg: TrainConfig):
 
 
 def fit_features(trn: DataFrame, cfg: TrainConfig):
-    """Vectorizer, idf+1 scaling, normaliser and label indexer fitted on ``trn``."""
+    """Vectorizer, idf+1 scaling, normaliser and label indexer fitted on ``trn``.
+
+    Both fits run inside the JVM (the vocabulary never crosses into Python);
+    the idf vector comes back in serialized form, so its size gives the
+    model-size check before the classifier is fitted.
+    """
     cv = CountVectorizer(inputCol="terms", outputCol="tf", binary=True,
                          minDF=cfg.min_df, vocabSize=cfg.vocab_size).fit(trn)
     _lap("vectorizer fit")
     idf = IDF(inputCol="tf", outputCol="_idf").fit(cv.transform(trn))
     _lap("idf fit")
-    scale = ElementwiseProduct(scalingVec=DenseVector(idf.idf.toArray() + 1.0),
-                               inputCol="tf", outputCol="tfidf")
-    norm = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
     indexer = StringIndexer(inputCol=cfg.label_col, outputCol="_label_idx",
                             stringOrderType="alphabetAsc").fit(trn)
+    weights = idf.idf.toArray() + 1.0
+    check_model_size(len(weights), len(indexer.labels), cfg)
+    scale = ElementwiseProduct(scalingVec=DenseVector(weights), inputCol="tf", outputCol="tfidf")
+    norm = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
     return cv, scale, norm, indexer
 
 
-def check_model_size(stages, cfg: TrainConfig) -> None:
-    cv, _, _, indexer = stages
-    n_terms, n_classes = len(cv.vocabulary), len(indexer.labels)
+def check_model_size(n_terms: int, n_classes: int, cfg: TrainConfig) -> None:
     n_coef = n_terms * (n_classes if n_classes > 2 else 1)
     if n_coef > cfg.max_coefficients:
         raise ValueError(
@@ -198,7 +203,6 @@ def train(df: DataFrame, cfg: TrainConfig | None = None):
     trn = prep.where(~F.col("is_test"))
     tst = prep.where(F.col("is_test"))
     stages = fit_features(trn, cfg)
-    check_model_size(stages, cfg)
     feats = feature_frame(trn, stages).persist()
     n_train = feats.count()
     _lap("features")

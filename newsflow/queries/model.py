@@ -24,7 +24,7 @@ _MODELS: dict = {}
 
 
 def trained(spark, sf):
-    k = (id(spark), sf)
+    k = (spark.sparkContext.applicationId, sf)  # a model belongs to one running application
     if k not in _MODELS:
         _MODELS[k] = train(documents(spark, sf), TrainConfig(max_iter=QUERY_MAX_ITER))
     return _MODELS[k]

@@ -50,11 +50,12 @@ def number_collections(registry: DataFrame, start: Column | int = 0) -> DataFram
 
 
 def log_update(log: DataFrame | None, new: DataFrame) -> DataFrame:
-    """Append (id, time, updated_collection) rows for newly seen collections."""
+    """Append (id, time, updated_collection, logged_at) rows for newly seen
+    collections; ``time`` is the log's text form, ``logged_at`` the timestamp."""
     start = log.agg(F.coalesce(F.max("id"), F.lit(0))).scalar() if log is not None else 0
     rows = number_collections(new, start).select(
         "id", F.date_format("first_seen", LOG_TIME_FORMAT).alias("time"),
-        F.col("collection").alias("updated_collection"))
+        F.col("collection").alias("updated_collection"), F.col("first_seen").alias("logged_at"))
     return rows if log is None else log.unionByName(rows)
 
 

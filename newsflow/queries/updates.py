@@ -63,13 +63,13 @@ def q_nonempty(spark, sf):
 
 
 def q_update_log(spark, sf):
-    return _log(spark, sf)[0]
+    return _log(spark, sf)[0].withColumn("logged_at", F.col("logged_at").cast("string"))
 
 
 def q_drop_vanished(spark, sf):
     log, counts, t_now = _log(spark, sf)
     kept = counts.where(F.col("first_seen") > t_now - F.expr(f"INTERVAL {RETENTION_DAYS} DAYS"))
-    return U.drop_vanished(log, kept)
+    return U.drop_vanished(log, kept).drop("logged_at")
 
 
 def q_latest_collection(spark, sf):
@@ -94,7 +94,8 @@ _C = ("c AS (SELECT event_type || '_' || strftime(CAST(ts AS DATE), '%Y%m%d') AS
       "min(ts) AS first_seen, count(*) AS n_rows FROM events GROUP BY 1), "
       "m AS (SELECT max(ts) AS t FROM events)")
 _LOG = (f"{_C}, lg AS (SELECT CAST(row_number() OVER (ORDER BY first_seen, collection) AS BIGINT) AS id, "
-        f"strftime(first_seen, '%I:%M %p, %Y-%m-%d') AS time, collection AS updated_collection "
+        f"strftime(first_seen, '%I:%M %p, %Y-%m-%d') AS time, collection AS updated_collection, "
+        f"CAST(first_seen AS VARCHAR) AS logged_at "
         f"FROM c WHERE first_seen <= (SELECT t FROM m))")
 
 SQL = {
@@ -109,7 +110,7 @@ SQL = {
                 f"FROM (SELECT DISTINCT event_type FROM events) t CROSS JOIN days) "
                 f"SELECT collection, CAST(day AS VARCHAR) AS day FROM ex "
                 f"WHERE collection IN (SELECT collection FROM c WHERE n_rows > 0)",
-    "update_log": f"WITH {_LOG} SELECT id, time, updated_collection FROM lg",
+    "update_log": f"WITH {_LOG} SELECT id, time, updated_collection, logged_at FROM lg",
     "drop_vanished": f"WITH {_LOG} SELECT id, time, updated_collection FROM lg WHERE updated_collection IN "
                      f"(SELECT collection FROM c WHERE first_seen > "
                      f"(SELECT t FROM m) - INTERVAL {RETENTION_DAYS} DAY)",

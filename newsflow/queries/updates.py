@@ -81,6 +81,13 @@ def q_update_history(spark, sf):
     return U.number_collections(counts).select("id", "collection", _str("first_seen"), "n_rows")
 
 
+def q_source_registry(spark, sf):
+    """U5 with each ``documents.source`` as a collection, in arrival (doc_id) order."""
+    docs = read_table(spark, sf, "documents").select("source", "doc_id")
+    counts = U.collection_counts(docs, F.col("source"), F.col("doc_id"))
+    return U.number_collections(counts).select("id", "collection", "first_seen", "n_rows")
+
+
 QUERIES = {
     "new_collections": q_new_collections,
     "nonempty": q_nonempty,
@@ -88,6 +95,7 @@ QUERIES = {
     "drop_vanished": q_drop_vanished,
     "latest_collection": q_latest_collection,
     "update_history": q_update_history,
+    "source_registry": q_source_registry,
 }
 
 _C = ("c AS (SELECT event_type || '_' || strftime(CAST(ts AS DATE), '%Y%m%d') AS collection, "
@@ -116,6 +124,9 @@ SQL = {
                      f"(SELECT t FROM m) - INTERVAL {RETENTION_DAYS} DAY)",
     "latest_collection": f"WITH {_LOG} SELECT arg_max(updated_collection, id) AS updated_collection, "
                          f"max(id) AS id FROM lg",
+    "source_registry": "SELECT CAST(row_number() OVER (ORDER BY min(doc_id), source) AS BIGINT) AS id, "
+                       "source AS collection, min(doc_id) AS first_seen, count(*) AS n_rows "
+                       "FROM documents GROUP BY source",
     "update_history": f"WITH {_C} SELECT CAST(row_number() OVER (ORDER BY first_seen, collection) AS BIGINT) "
                       f"AS id, collection, CAST(first_seen AS VARCHAR) AS first_seen, n_rows FROM c",
 }

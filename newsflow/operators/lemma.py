@@ -15,6 +15,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+
 from newsflow.session import materialize
 
 # Noun suffix rules (old ending -> new ending) in rule order.

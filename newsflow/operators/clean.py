@@ -38,7 +38,8 @@ def clean_text(df: DataFrame, text_col: str = "text", content_col: str = "conten
 
 
 def token_counts_by_group(df: DataFrame, group_col: str, tokens_col: str = "tokens") -> DataFrame:
-    """Per group: documents, kept tokens and distinct tokens, in one scan.
+    """Per group: documents, summed per-document token counts (of ``tokens_col``,
+    distinct within each document after T11) and distinct tokens, in one scan.
 
     One row per (doc, token) via ``posexplode_outer``; the document-level
     counts ride on the first token of each document. Aggregation is two-level

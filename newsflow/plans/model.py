@@ -98,6 +98,16 @@ class TextModel:
         return self.transform(df).select(
             *keys, F.col("content").alias("Content"), F.col(PRED).alias("Predicted Category"))
 
+    def score_distinct(self, df: DataFrame) -> DataFrame:
+        """C4: one prediction per distinct content (T3), scored once.
+
+        The prediction is a function of the content alone, so rows are
+        de-duplicated on it before the lemma join and the model run.
+        """
+        keyed = df.withColumn("_content", T.sentence_trim(self.text_col))
+        return (self.score_rows(keyed.dropDuplicates(["_content"]).drop("_content"))
+                .select("Content", "Predicted Category"))
+
     def with_input(self, key, text_col: str = "text") -> "TextModel":
         """The same fitted model reading another table's key and text columns."""
         return TextModel(self.pipeline, self.lexicon, key, text_col)

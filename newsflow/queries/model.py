@@ -55,9 +55,7 @@ def q_score_json(spark, sf):
 
 def q_dedup_score(spark, sf):
     """C4: one prediction per distinct cleaned content."""
-    model = trained(spark, sf)[0]
-    return (model.score_rows(documents(spark, sf))
-            .dropDuplicates(["Content"]).select("Content", "Predicted Category"))
+    return trained(spark, sf)[0].score_distinct(documents(spark, sf))
 
 
 def q_model_roundtrip(spark, sf):

@@ -78,3 +78,12 @@ def test_predict_text_single(spark, fitted):
     out = predict_text(spark, model, "sachin score 100.he played well .he get a trophy")
     assert out["Content"] == "sachin score 100.he played well.he get a trophy"
     assert out["Predicted_category"] in set(model.pipeline.stages[-1].getLabels())
+
+
+def test_score_distinct_matches_row_scores(spark, fitted):
+    model, _ = fitted
+    docs = documents(spark, SF0001)
+    once = {r.Content: r["Predicted Category"] for r in model.score_distinct(docs).collect()}
+    rows = model.score_rows(docs).collect()
+    assert len(once) == len({r.Content for r in rows})
+    assert all(once[r.Content] == r["Predicted Category"] for r in rows)

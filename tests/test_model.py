@@ -87,3 +87,8 @@ def test_score_distinct_matches_row_scores(spark, fitted):
     rows = model.score_rows(docs).collect()
     assert len(once) == len({r.Content for r in rows})
     assert all(once[r.Content] == r["Predicted Category"] for r in rows)
+
+
+def test_oversized_model_is_refused(spark):
+    with pytest.raises(ValueError, match="max_coefficients"):
+        train(documents(spark, SF0001), TrainConfig(max_iter=5, max_coefficients=100))

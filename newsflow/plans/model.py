@@ -17,7 +17,7 @@ from __future__ import annotations
 import os
 import sys
 import time
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -63,7 +63,6 @@ class TrainConfig:
     # iteration (broadcast out, one gradient per task back); past this many
     # coefficients the fit is refused with a hint instead of running out of memory.
     max_coefficients: int = 1 << 27
-    extra: dict = field(default_factory=dict)
 
 
 @dataclass

@@ -44,3 +44,16 @@ def test_retrain_only_when_something_new(spark, scratch):
     first = retrain_if_updated(spark, landing, docs.schema, state, f"{scratch}/m1", cfg)
     assert first is not None and first["accuracy"].first()["collection"] == "src1"
     assert retrain_if_updated(spark, landing, docs.schema, state, f"{scratch}/m2", cfg) is None
+
+
+def test_read_news_csv_and_parquet(spark, scratch):
+    row = ("l1", "h", "TECH", 'says "hi", then.\nmore', "a", "2022-01-02")
+    cols = "link string, headline string, category string, short_description string, " \
+           "authors string, date string"
+    df = spark.createDataFrame([row], cols).withColumn("date", F.to_date("date"))
+    df.write.option("header", True).option("escape", '"').csv(f"{scratch}/csv")
+    df.write.parquet(f"{scratch}/pq")
+    for fmt, path in (("csv", f"{scratch}/csv"), ("parquet", f"{scratch}/pq")):
+        r = N.read_news(spark, path, fmt=fmt).first()
+        assert (r["category"], r["short_description"], str(r["date"])) == \
+            ("TECH", 'says "hi", then.\nmore', "2022-01-02"), fmt

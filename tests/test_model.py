@@ -92,3 +92,12 @@ def test_score_distinct_matches_row_scores(spark, fitted):
 def test_oversized_model_is_refused(spark):
     with pytest.raises(ValueError, match="max_coefficients"):
         train(documents(spark, SF0001), TrainConfig(max_iter=5, max_coefficients=100))
+
+
+def test_null_and_empty_text_score_to_a_class(spark, fitted):
+    model, _ = fitted
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "...")], "doc_id long, text string")
+    out = {r.doc_id: r["Predicted Category"] for r in model.score_rows(df).collect()}
+    labels = set(model.pipeline.stages[-1].getLabels())
+    assert set(out) == {1, 2, 3} and all(v in labels for v in out.values())
+    assert out[1] == out[2] == out[3]          # all three are the zero vector

@@ -24,3 +24,20 @@ def test_watcher_two_polls(spark, scratch):
     assert reg == {"c1": 10, "c2": 3, "c3": 4}
     log = update_log(spark, state).orderBy("id").collect()
     assert [r.updated_collection for r in log] == ["c1", "c2", "c3"]
+
+
+def test_watcher_continuous_trigger(spark, scratch):
+    landing, state = f"{scratch}/landing", f"{scratch}/state"
+    a = spark.createDataFrame([(i, "x") for i in range(6)], "k long, v string")
+    a.withColumn("collection", F.lit("d1")).write.partitionBy("collection").parquet(landing)
+    q = watch_collections(spark, landing, a.schema, state, available_now=False,
+                          processing_time="1 second")
+    try:
+        q.processAllAvailable()
+        a.limit(2).withColumn("collection", F.lit("d2")).write.partitionBy("collection") \
+            .mode("append").parquet(landing)
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert {r.collection: r.n_rows for r in registry(spark, state).collect()} == {"d1": 6, "d2": 2}
+    assert {r.collection for r in new_in_last_batch(spark, state).collect()} == {"d2"}

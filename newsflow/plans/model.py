@@ -24,6 +24,7 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, IndexToString,
                                 Normalizer, StringIndexer)
 from pyspark.ml.linalg import DenseVector
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -124,7 +125,9 @@ class TextModel:
         pipe = PipelineModel.load(f"{path}/pipeline")
         try:
             lex = spark.read.parquet(f"{path}/lexicon")
-        except Exception:  # model trained without lemmas
+        except AnalysisException as e:  # no lexicon folder: model trained without lemmas
+            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
+                raise
             lex = None
         return cls(pipe, lex, key, text_col)
 

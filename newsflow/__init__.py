@@ -5,6 +5,6 @@ from Spark SQL expressions, Spark ML stages and Structured Streaming; there is
 no per-row Python in the data path.
 """
 
-from newsflow.session import get_spark, checkpoint_dir
+from newsflow.session import get_spark, stage
 
-__all__ = ["get_spark", "checkpoint_dir"]
+__all__ = ["get_spark", "stage"]

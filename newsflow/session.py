@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
 
@@ -64,43 +65,50 @@ def get_spark(master: str | None = None, cores: int | None = None,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared checkpoint folder; create a scratch one only if unset."""
+    """Shared folder for checkpoints and staged tables, read from the session.
+
+    A machine-local scratch folder is made only under a ``local*`` master
+    (tests, laptop runs); any other master without ``spark.checkpoint.dir`` is
+    an error, because executors could not see each other's files.
+    """
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or sc.getConf().get(_CKPT_KEY, None)
     if not path:
-        # only reached outside a cluster (tests): the cluster always names one
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError(f"{_CKPT_KEY} must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="newsflow-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
-def materialize(df):
-    """Checkpoint ``df`` into the shared checkpoint folder (eager).
-
-    Cuts the lineage so later stages (and recovery after a lost executor)
-    read the written files instead of recomputing the plan.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a written table below the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and staged tables (see module doc)."""
-    return ensure_checkpoint_dir(spark)
 
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it back.
 
-def staging_path(spark: SparkSession, name: str) -> str:
-    """A fresh sub-folder of the shared checkpoint dir for a written table."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/staged/{name}-{os.getpid()}-{next(_COUNTER)}"
+    Cuts the lineage: later stages, and recovery after a lost executor, read
+    the committed files, with column pruning and pushed filters.
+    """
+    path = staging_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _counter():
-    n = 0
-    while True:
-        n += 1
-        yield n
+def unstage(*frames: DataFrame) -> None:
+    """Delete the files of staged tables that no later result reads."""
+    for df in frames:
+        spark = df.sparkSession
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path
+        conf = spark._jsc.hadoopConfiguration()
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = hadoop(folder)
+            path.getFileSystem(conf).delete(path, True)
 
 
-_COUNTER = _counter()
+def materialize(df: DataFrame) -> DataFrame:
+    """Cut the lineage of ``df`` with a staged table."""
+    return stage(df, "materialized")

@@ -25,9 +25,11 @@ the number of ids before each part.
 
 from __future__ import annotations
 
+import os
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import zstandard
@@ -44,8 +46,8 @@ BLOCK_IDS = 1 << 16
 SHARD_IDS = 1 << 20
 #: Words longer than this are encoded every time; the others' ids are kept.
 KEPT_WORD = 48
-#: The table of kept words is emptied at this size.
-KEPT_WORDS = 400_000
+#: Entries of each generation of the tables of kept words.
+KEPT_WORDS = 300_000
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -139,31 +141,78 @@ class Shard:
             at = stop
 
 
-class _Words(dict):
-    """Ids, as bytes, of words; the tokenizer drops white space, so a text's ids
-    are those of its pieces between blanks and line ends, one after the other."""
+class _Kept:
+    """A table in two generations: at its size limit the younger one becomes the
+    older, and entries that are met again move back."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def missing(self, words: set[str]) -> list[str]:
+        """Those of ``words`` in neither generation; the others are now in the younger."""
+        if len(self.young) > KEPT_WORDS:
+            self.old, self.young = self.young, {}
+        new = words.difference(self.young)
+        if self.old:
+            back = new & self.old.keys()
+            self.young.update((w, self.old[w]) for w in back)
+            new -= back
+        return list(new)
+
+
+class _Words:
+    """Ids, as bytes, of texts.
+
+    The tokenizer drops white space, lower-cases, and always splits between a
+    letter and a mark such as a comma. So a text's ids are those of its pieces
+    between blanks and line ends one after the other, and the ids of letters
+    with marks behind them are those of the lower-cased letters and of the
+    marks. Other pieces are encoded as they stand.
+    """
+
+    MARKS = ",.;:!?"
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.pieces, self.parts = _Kept(), _Kept()
 
-    def _ids(self, words: list[str]) -> list[bytes]:
-        got = self.tokenizer.encode_batch(words, add_special_tokens=False)
+    def _encode(self, words: list[str]) -> list[bytes]:
+        got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self._ids([word])[0]
-        if len(word) <= KEPT_WORD:
-            self[word] = ids
-        return ids
-
-    def learn(self, words: set[str]) -> None:
-        if len(self) > KEPT_WORDS:
-            self.clear()
-        new = [w for w in words if w not in self and len(w) <= KEPT_WORD]
+    def _split(self, piece: str) -> tuple[str, str]:
+        letters = piece.rstrip(self.MARKS)
+        # up to U+024F, without U+0130, lower case is one letter in every library
+        if letters.isalpha() and (letters.isascii() or (max(letters) < "\u0250" and "\u0130" not in letters)):
+            return letters.lower(), piece[len(letters):]
+        return piece, ""
+
+    def ids(self, text: str) -> bytes:
+        pieces = text.replace("\n", " ").split(" ")
+        new = self.pieces.missing(set(pieces))
+        table = self.pieces.young
         if new:
-            self.update(zip(new, self._ids(new)))
+            split = {w: self._split(w) for w in new}
+            parts = self.parts.missing({x for two in split.values() for x in two})
+            known = self.parts.young
+            known.update(zip(parts, self._encode(parts)))
+            table.update((w, known[a] + known[b]) for w, (a, b) in split.items())
+        out = b"".join(map(table.__getitem__, pieces))
+        for w in new:
+            if len(w) > KEPT_WORD:
+                del table[w]
+                for x in split[w]:
+                    known.pop(x, None)
+        return out
+
+
+@lru_cache(maxsize=1)
+def _words(path: str) -> _Words:
+    """Kept for all tasks of a Python worker."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return _Words(path)
 
 
 def encode_to_files(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_id",
@@ -182,16 +231,12 @@ def encode_to_files(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_
     end = struct.pack("<I", end_id)
 
     def encode(rows):
-        import os
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words, part = _Words(tokenizer), TaskContext.get().partitionId()
+        words, part = _words(tokenizer), TaskContext.get().partitionId()
         shard = before = held = 0
         keys, lengths, data = [], [], []
         for k, t in rows:
             if t:
-                pieces = t.replace("\n", " ").split(" ")
-                words.learn(set(pieces))
-                ids = b"".join(map(words.__getitem__, pieces)) + end
+                ids = words.ids(t) + end
             else:
                 ids = end
             keys.append(k)

@@ -163,10 +163,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     linked = components(arrow_map(paired, verify, "u binary, v binary"))
     linked = stage(linked.toDF("cls", "root"), "linked")
     least = classes.select("cls", "least")
-    roots = linked.join(least, "cls").groupBy("root").agg(F.min("least").alias("component"))
+    # staged, so that the join below may split a root of very many texts
+    roots = stage(linked.join(least, "cls").groupBy("root").agg(F.min("least").alias("component")), "roots")
     labels = stage(least.join(linked.join(roots, "root"), "cls", "left")
                    .select("cls", F.coalesce("component", "least").alias("component")), "labels")
-    unstage(hubs, clusters, sizes, members, linked)
+    unstage(hubs, clusters, sizes, members, linked, roots)
     got = signed.select("doc_id", "cls", "n").join(labels, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return got.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bitplane, minhash
+from newsflow.llm import bitplane, minhash, pareto, wumanber
 from newsflow.llm.common import documents, read_table, staging_path
 
 
@@ -42,11 +42,76 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(c) AS component_id, doc
 FROM r JOIN s USING (doc_id) GROUP BY doc_id, s"""
 
 
+def op4_wumanber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wumanber.report(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
+
+
+_OP4_WORDS = ("coalesce(regexp_extract_all(" + _LOWER
+              + ", '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), [])")
+
+_OP4 = f"""
+WITH d AS (SELECT doc_id, {_OP4_WORDS.format('text')} AS w FROM documents),
+i AS (SELECT item_id, {_OP4_WORDS.format('text')} AS w FROM benchmark),
+p AS (SELECT DISTINCT item_id, k, array_to_string(w[j:j + k - 1], ' ') AS g
+      FROM (SELECT item_id, w, least(10, len(w)) AS k, unnest(range(1, len(w) - least(10, len(w)) + 2)) AS j
+            FROM i WHERE len(w) > 0)),
+g AS (SELECT doc_id, k, j, array_to_string(w[j:j + k - 1], ' ') AS g
+      FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS j FROM d, (SELECT DISTINCT k FROM p))),
+h AS (SELECT doc_id, g.k, j, item_id FROM g JOIN p USING (k, g)),
+n AS (SELECT doc_id, count(DISTINCT x) AS n_hit FROM (SELECT doc_id, unnest(range(j, j + k)) AS x FROM h) GROUP BY doc_id),
+m AS (SELECT doc_id, count(DISTINCT item_id) AS n_items,
+        sha256(array_to_string(list_sort(list_distinct(list(CAST(item_id AS VARCHAR)))), ',')) AS s FROM h GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(s, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
+
+
+def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pareto.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _op8() -> str:
+    rounds, pool = [], "c0"
+    for k in range(1, pareto.ROUNDS + 1):
+        rounds.append(f"""
+f{k} AS (SELECT doc_id, sum(size) OVER (PARTITION BY source ORDER BY p, doc_id ROWS UNBOUNDED PRECEDING) AS upto, lack
+  FROM {pool} WHERE open AND size <= lack),
+c{k} AS (SELECT c.* EXCLUDE (open, lack, extra), extra OR coalesce(upto <= f.lack, false) AS extra,
+  open AND NOT coalesce(upto <= f.lack, false) AS open,
+  c.lack - sum(CASE WHEN upto <= f.lack THEN size ELSE 0 END) OVER (PARTITION BY source) AS lack
+  FROM {pool} c LEFT JOIN f{k} f USING (doc_id))""")
+        pool = f"c{k}"
+    cases = " ".join(f"WHEN {j} THEN {float(w)}" for j, w in enumerate(pareto.WEIGHTS))
+    return f"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size
+  FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place
+  FROM d GROUP BY source),
+w AS (SELECT *, CASE place % {len(pareto.WEIGHTS)} {cases} END AS w, source_size * {float(pareto.MOST)} AS cap FROM s),
+v AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, place ROWS BETWEEN UNBOUNDED PRECEDING
+  AND 1 PRECEDING), 0)) / sum(w) OVER (ORDER BY cap / w, place ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+l AS (SELECT arg_min(level, cap / w) AS level FROM v WHERE level <= cap / w),
+t AS (SELECT source, source_size, least(cap, (SELECT level FROM l) * w) AS target FROM w),
+e AS (SELECT d.*, source_size, target, least({float(pareto.MOST)}, target * 1.0 / source_size) AS e,
+  (CAST(('0x' || substr(md5('8:' || doc_id), 1, 13)) AS BIGINT) + 0.5) / 4503599627370496.0 AS u
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+o AS (SELECT *, floor(e) AS whole, e - floor(e) AS odds FROM e),
+q AS (SELECT *, odds > 0 AND size > 0 AS open, u / (1 - u) / (odds / (1 - odds)) AS q FROM o),
+c0 AS (SELECT *, q / (1 + q) AS p, false AS extra,
+  floor(round(target - sum(whole * size) OVER (PARTITION BY source), 6)) AS lack FROM q),{','.join(rounds)}
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+  CAST((whole + CAST(extra AS INT)) * size AS BIGINT) AS taken FROM {pool}"""
+
+
 QUERIES = {
     "op1_bitplane_tokens": op1_bitplane_tokens,
     "op2_circulant_minhash": op2_circulant_minhash,
+    "op4_wumanber_decontamination": op4_wumanber_decontamination,
+    "op8_pareto_mix": op8_pareto_mix,
 }
 
 SQL: dict[str, str] = {
     "op2_circulant_minhash": _OP2,
+    "op4_wumanber_decontamination": _OP4,
+    "op8_pareto_mix": _op8(),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bitplane, minhash, pareto, wumanber
+from newsflow.llm import bitplane, langid, minhash, pareto, urltrie, wumanber
 from newsflow.llm.common import documents, read_table, staging_path
 
 
@@ -66,6 +66,26 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)"""
 
 
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"),
+         ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op5_url_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, action string")
+    return urltrie.judge(read_table(spark, sf_dir, "pages"), rules)
+
+
+_OP5 = f"""
+WITH r(host, path, action) AS (VALUES {', '.join(str(r) for r in RULES)}),
+u AS (SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS u FROM pages),
+p AS (SELECT page_id, {_LOWER.format("regexp_extract(u, '^[^/?#]*')")} AS host,
+  regexp_extract(substr(u, len(regexp_extract(u, '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
+f AS (SELECT page_id, arg_max(r.host || r.path, len(r.host || r.path)) AS rule, arg_max(action, len(r.host || r.path)) AS action
+  FROM p JOIN r ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path) GROUP BY page_id)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, coalesce(action, 'allow') AS verdict
+FROM p LEFT JOIN f USING (page_id)"""
+
+
 def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -103,15 +123,23 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
   CAST((whole + CAST(extra AS INT)) * size AS BIGINT) AS taken FROM {pool}"""
 
 
+def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.predict(docs, langid.train(docs))
+
+
 QUERIES = {
     "op1_bitplane_tokens": op1_bitplane_tokens,
     "op2_circulant_minhash": op2_circulant_minhash,
     "op4_wumanber_decontamination": op4_wumanber_decontamination,
+    "op5_url_trie": op5_url_trie,
     "op8_pareto_mix": op8_pareto_mix,
+    "op10_langid": op10_langid,
 }
 
 SQL: dict[str, str] = {
     "op2_circulant_minhash": _OP2,
     "op4_wumanber_decontamination": _OP4,
+    "op5_url_trie": _OP5,
     "op8_pareto_mix": _op8(),
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bitplane, langid, minhash, pareto, urltrie, wumanber
+from newsflow.llm import bitplane, langid, minhash, ordinal, pareto, urltrie, wumanber
 from newsflow.llm.common import documents, read_table, staging_path
 
 
@@ -123,6 +123,11 @@ SELECT doc_id, size, source_size, round(target, 6) AS target,
   CAST((whole + CAST(extra AS INT)) * size AS BIGINT) AS taken FROM {pool}"""
 
 
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return ordinal.judge(docs, ordinal.train(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return langid.predict(docs, langid.train(docs))
@@ -134,6 +139,7 @@ QUERIES = {
     "op4_wumanber_decontamination": op4_wumanber_decontamination,
     "op5_url_trie": op5_url_trie,
     "op8_pareto_mix": op8_pareto_mix,
+    "op9_ordinal_quality": op9_ordinal_quality,
     "op10_langid": op10_langid,
 }
 

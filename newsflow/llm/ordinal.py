@@ -177,7 +177,7 @@ def fit(sets: list[np.ndarray], grades: list[int], steps: int = 200,
     lost = np.r_[0, np.cumsum(best[order])] / max(1, best.sum())
     left = 1 - np.r_[0, np.cumsum(~best[order])] / max(1, (~best).sum())
     edges = np.r_[s[order][0] - 1, [(a + b) / 2 for a, b in pairwise(s[order])], s[order][-1] + 1]
-    cost = 2 * lost + left
+    cost = 3 * lost + left
     least = np.flatnonzero(cost <= cost.min() + 1e-12)
     # of equally good places the middle one
     model.keep = float(sigmoid((edges[least[0]] + edges[least[-1]]) / 2))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bitplane, langid, minhash, ordinal, pareto, urltrie, wumanber
+from newsflow.llm import bitplane, langid, minhash, ordinal, pareto, subspace, urltrie, wumanber
 from newsflow.llm.common import documents, read_table, staging_path
 
 
@@ -42,6 +42,23 @@ SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(c) AS component_id, doc
 FROM r JOIN s USING (doc_id) GROUP BY doc_id, s"""
 
 
+def op3_subspace_pigeonhole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return subspace.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+_OP3 = """
+WITH RECURSIVE u AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+g AS (SELECT * FROM u WHERE label IS NOT NULL AND len(v) > 0
+  AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND list_inner_product(v, v) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM g a JOIN g b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_inner_product(a.v, b.v) / sqrt(list_inner_product(a.v, a.v) * list_inner_product(b.v, b.v)) >= 0.98),
+r AS (SELECT vec_id, vec_id AS c FROM u UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.vec_id WHERE r.c < l.b),
+n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(any_value(n), 0) AS n_links, min(c) AS component_id, vec_id = min(c) AS kept
+FROM r LEFT JOIN n USING (vec_id) GROUP BY vec_id"""
+
+
 def op4_wumanber_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wumanber.report(documents(spark, sf_dir), read_table(spark, sf_dir, "benchmark"))
 
@@ -136,6 +153,7 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_bitplane_tokens": op1_bitplane_tokens,
     "op2_circulant_minhash": op2_circulant_minhash,
+    "op3_subspace_pigeonhole": op3_subspace_pigeonhole,
     "op4_wumanber_decontamination": op4_wumanber_decontamination,
     "op5_url_trie": op5_url_trie,
     "op8_pareto_mix": op8_pareto_mix,
@@ -145,6 +163,7 @@ QUERIES = {
 
 SQL: dict[str, str] = {
     "op2_circulant_minhash": _OP2,
+    "op3_subspace_pigeonhole": _OP3,
     "op4_wumanber_decontamination": _OP4,
     "op5_url_trie": _OP5,
     "op8_pareto_mix": _op8(),

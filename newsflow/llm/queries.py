@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from newsflow.llm import bitplane, langid, minhash, ordinal, pareto, subspace, urltrie, wumanber
+from newsflow.llm import bitplane, langid, licences, minhash, ordinal, pareto, subspace, triecount, urltrie, wumanber
 from newsflow.llm.common import documents, read_table, staging_path
 
 
@@ -103,6 +103,16 @@ SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule, co
 FROM p LEFT JOIN f USING (page_id)"""
 
 
+def op6_trie_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    return triecount.token_counts(documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return licences.scan(docs, licences.train(docs))
+
+
 def op8_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pareto.mix(documents(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -156,6 +166,8 @@ QUERIES = {
     "op3_subspace_pigeonhole": op3_subspace_pigeonhole,
     "op4_wumanber_decontamination": op4_wumanber_decontamination,
     "op5_url_trie": op5_url_trie,
+    "op6_trie_counts": op6_trie_counts,
+    "op7_licence_scan": op7_licence_scan,
     "op8_pareto_mix": op8_pareto_mix,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_langid": op10_langid,

@@ -27,7 +27,8 @@ def is_test(key: str | Column, seed: int = 42, test_fraction: float = 0.2) -> Co
     """M1: deterministic hash split, stable under re-partitioning and re-runs."""
     k = F.col(key) if isinstance(key, str) else key
     h = F.substring(F.md5(F.concat(F.lit(f"{seed}:"), k.cast("string"))), 1, 8)
-    return h < F.lit(split_threshold(test_fraction))
+    # a null key belongs to the training side
+    return F.coalesce(h < F.lit(split_threshold(test_fraction)), F.lit(False))
 
 
 def train_test_split(df: DataFrame, key: str, seed: int = 42, test_fraction: float = 0.2):

@@ -14,9 +14,6 @@ table. Cleaning itself is code (column expressions) and needs no state.
 
 from __future__ import annotations
 
-import os
-import sys
-import time
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -35,16 +32,11 @@ from newsflow.operators.features import is_test
 from newsflow.operators.lemma import RULE_SUFFIX, changed_lemmas, lemmatize_tokens
 from newsflow.session import materialize
 
-PRED = "prediction_label"
-_TIMING = bool(os.environ.get("NEWSFLOW_TIMING"))
-_T = [time.perf_counter()]
 
+PRED = "prediction_label"
 
-def _lap(msg: str) -> None:
-    if _TIMING:
-        now = time.perf_counter()
-        print(f"[train] {msg} {now - _T[0]:.2f}s", file=sys.stderr, flush=True)
-        _T[0] = now
+#: The largest size the vectorizer can be given: no term is cut.
+VOCABULARY_LIMIT = (1 << 31) - 1
 
 
 @dataclass
@@ -55,15 +47,14 @@ class TrainConfig:
     seed: int = 42
     test_fraction: float = 0.2
     min_df: float = 1.0
-    vocab_size: int = 1 << 24          # effectively no cut; the vectorizer's default 2^18 would cut
     max_iter: int = 1000
     tol: float = 1e-6
     reg_param: float | None = None     # None -> 1 / n_train
     lemmas: bool = True
-    # Spark ML's multinomial solver moves a dense classes x terms matrix every
-    # iteration (broadcast out, one gradient per task back); past this many
-    # coefficients the fit is refused with a hint instead of running out of memory.
-    max_coefficients: int = 1 << 27
+    # Bound on the labelled rows a model is fitted and tested on, taken by a hash of
+    # the key before cleaning; it bounds the vocabulary that the driver holds and the
+    # dense classes x terms matrix of the solver. None: all rows.
+    max_fit_rows: int | None = 100_000
 
 
 @dataclass
@@ -141,23 +132,30 @@ def prepare(df: DataFrame, cfg: TrainConfig) -> DataFrame:
                     is_test(cfg.key, cfg.seed, cfg.test_fraction).alias("is_test"))
 
 
+def bounded(df: DataFrame, cfg: TrainConfig) -> DataFrame:
+    """At most about ``max_fit_rows`` labelled rows, by a hash of the key and text."""
+    df = df.where(F.col(cfg.label_col).isNotNull() & F.col(cfg.text_col).isNotNull())
+    if cfg.max_fit_rows is None:
+        return df
+    share = cfg.max_fit_rows / max(1, df.count())
+    if share >= 1:
+        return df
+    rank = F.pmod(F.xxhash64(cfg.key, cfg.text_col), F.lit(1 << 30))
+    return df.where(rank < int(share * (1 << 30)))
+
+
 def prepared(df: DataFrame, cfg: TrainConfig):
     """Cleaned, lemmatized, split-flagged frame (checkpointed) and the lexicon."""
-    _lap("start")
-    prep = materialize(prepare(df, cfg))  # regex cleaning runs once
-    _lap("clean")
+    prep = materialize(prepare(bounded(df, cfg), cfg))  # regex cleaning runs once
     lexicon = None
     if cfg.lemmas:
         # one pass: every distinct token, flagged when a training document has it
         seen = materialize(prep.select(F.explode("tokens").alias("token"), "is_test")
                            .groupBy("token").agg(F.min(F.col("is_test").cast("int")).alias("_t")))
         lexicon = seen.where(F.col("_t") == 0).select(F.col("token").alias("form"))
-        _lap("lexicon")
         changes = changed_lemmas(seen.select("token"), lexicon)
-        _lap("lemma table")
         prep = lemmatize_tokens(prep, cfg.key, changes, only=RULE_SUFFIX)
     prep = materialize(prep.withColumn("terms", T.terms("tokens")))
-    _lap("lemmatize")
     return prep, lexicon
 
 
@@ -165,31 +163,21 @@ def fit_features(trn: DataFrame, cfg: TrainConfig):
     """Vectorizer, idf+1 scaling, normaliser and label indexer fitted on ``trn``.
 
     Both fits run inside the JVM (the vocabulary never crosses into Python);
-    the idf vector comes back in serialized form, so its size gives the
-    model-size check before the classifier is fitted.
+    the idf vector comes back in serialized form.
     """
     cv = CountVectorizer(inputCol="terms", outputCol="tf", binary=True,
-                         minDF=cfg.min_df, vocabSize=cfg.vocab_size).fit(trn)
-    _lap("vectorizer fit")
+                         minDF=cfg.min_df, vocabSize=VOCABULARY_LIMIT).fit(trn)
+    if len(cv.vocabulary) >= VOCABULARY_LIMIT:
+        raise ValueError("the vocabulary reached the vectorizer's limit; lower max_fit_rows")
     idf = IDF(inputCol="tf", outputCol="_idf").fit(cv.transform(trn))
-    _lap("idf fit")
     indexer = StringIndexer(inputCol=cfg.label_col, outputCol="_label_idx",
                             stringOrderType="alphabetAsc").fit(trn)
     weights = idf.idf.toArray() + 1.0
-    check_model_size(len(weights), len(indexer.labels), cfg)
     scale = ElementwiseProduct(scalingVec=DenseVector(weights), inputCol="tf", outputCol="tfidf")
     norm = Normalizer(p=2.0, inputCol="tfidf", outputCol="features")
     return cv, scale, norm, indexer
 
 
-def check_model_size(n_terms: int, n_classes: int, cfg: TrainConfig) -> None:
-    n_coef = n_terms * (n_classes if n_classes > 2 else 1)
-    if n_coef > cfg.max_coefficients:
-        raise ValueError(
-            f"{n_terms} terms x {n_classes} classes = {n_coef} coefficients exceeds "
-            f"max_coefficients={cfg.max_coefficients}; raise min_df or lower vocab_size")
-
-
 def feature_frame(trn: DataFrame, stages, extra: list | None = None) -> DataFrame:
     cv, scale, norm, indexer = stages
     out = indexer.transform(norm.transform(scale.transform(cv.transform(trn))))
@@ -217,9 +205,7 @@ def train(df: DataFrame, cfg: TrainConfig | None = None):
     stages = fit_features(trn, cfg)
     feats = feature_frame(trn, stages).persist()
     n_train = feats.count()
-    _lap("features")
     lr_model = classifier(cfg, n_train).fit(feats)
-    _lap(f"lr fit ({lr_model.summary.totalIterations} iterations)")
     feats.unpersist()
     cv, scale, norm, indexer = stages
     to_label = IndexToString(inputCol="prediction", outputCol=PRED, labels=indexer.labels)

@@ -1,39 +1,48 @@
 """Retrain when a new training collection has arrived.
 
 One idempotent batch job (an outside scheduler decides when to call it):
-poll the landing folder (U6), and if the poll found new collections, take the
-newest one (S3), read it (S1), run the training pipeline (M15) and save the
-model (S8). Returns the hold-out metrics, or None when nothing new arrived.
+poll the landing folder (U6), take the newest logged collection (S3), and unless
+it has been trained on, read it (S1), run the training pipeline (M15), save the
+model (S8) and record the collection as trained. Returns the hold-out metrics,
+or None when nothing new arrived.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.operators import updates as U
 from newsflow.plans.model import TrainConfig, evaluate, train
-from newsflow.streaming.watch import new_in_last_batch, update_log, watch_collections
+from newsflow.streaming.watch import update_log, watch_collections
 
 
 def retrain_if_updated(spark: SparkSession, landing: str, schema: T.StructType, state: str,
                        model_dir: str, cfg: TrainConfig | None = None,
                        fmt: str = "parquet") -> dict[str, DataFrame] | None:
-    before = _batches(spark, state)
     watch_collections(spark, landing, schema, state, fmt=fmt).awaitTermination()
-    if _batches(spark, state) == before or new_in_last_batch(spark, state).isEmpty():
+    if _recorded(spark, f"{state}/arrivals") is None:
         return None
     latest = U.latest_collection(update_log(spark, state)).first()["updated_collection"]
+    done = _recorded(spark, f"{state}/trained")
+    if done is not None and not done.where(F.col("collection") == latest).isEmpty():
+        return None
     data = (spark.read.format(fmt).schema(schema).load(f"{landing}/collection={latest}"))
     model, preds = train(data, cfg or TrainConfig())
     model.save(model_dir)
+    # only now: a run that failed before this line trains again
+    spark.createDataFrame([(latest,)], "collection string").write.mode("append").parquet(f"{state}/trained")
     return {k: v.select(F.lit(latest).alias("collection"), "*")
             for k, v in evaluate(preds).items()}
 
 
-def _batches(spark: SparkSession, state: str) -> int:
+def _recorded(spark: SparkSession, path: str) -> DataFrame | None:
+    """A state table, or None if it has not been written yet."""
     try:
-        return spark.read.parquet(f"{state}/arrivals").select("batch_id").distinct().count()
-    except Exception:  # no poll recorded yet
-        return 0
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None

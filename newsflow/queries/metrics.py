@@ -8,6 +8,7 @@ result both engines can state exactly.
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from newsflow.operators import metrics as M
@@ -18,10 +19,11 @@ from newsflow.sources.tables import read_table
 def pairs(spark, sf):
     docs = read_table(spark, sf, "documents").select("doc_id", "lang")
     li = label_index(docs, "lang")
-    k = li.agg(F.count(F.lit(1))).scalar()
-    nxt = li.select(F.col("lang").alias("next_lang"), F.col("label_idx").alias("next_idx"))
-    j = (docs.join(li, "lang")
-         .join(nxt, F.col("next_idx") == (F.col("label_idx") + 1) % k))
+    order = Window.orderBy("label_idx")
+    nxt = li.select("lang", F.coalesce(F.lead("lang").over(order), F.first("lang").over(
+        order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("next_lang"))
+    # one row a class
+    j = docs.join(F.broadcast(nxt), "lang")
     return j.select("doc_id", F.col("lang").alias("label"),
                     F.when(is_test("doc_id", seed=7), F.col("next_lang"))
                     .otherwise(F.col("lang")).alias("prediction"))

@@ -18,15 +18,15 @@ from newsflow.queries.features import cleaned, cleaned_once
 from newsflow.session import staging_path
 from newsflow.sources.tables import documents, read_table, spread
 
-# Optimiser budget of the registered training query (library default: 1000).
-QUERY_MAX_ITER = 100
+# The registered queries fit until the loss improves by less than this share.
+QUERY_TOL = 1e-4
 _MODELS: dict = {}
 
 
 def trained(spark, sf):
     k = (spark.sparkContext.applicationId, sf)  # a model belongs to one running application
     if k not in _MODELS:
-        _MODELS[k] = train(documents(spark, sf), TrainConfig(max_iter=QUERY_MAX_ITER))
+        _MODELS[k] = train(documents(spark, sf), TrainConfig(tol=QUERY_TOL))
     return _MODELS[k]
 
 
@@ -134,7 +134,7 @@ FROM te LEFT JOIN b ON te.doc_id = b.doc_id""",
 def q_grid_search(spark, sf):
     """3-point regularisation grid, 2-fold cross-validation on the train split."""
     from newsflow.plans.tuning import grid_search
-    res, _ = grid_search(documents(spark, sf), TrainConfig(max_iter=30), folds=2)
+    res, _ = grid_search(documents(spark, sf), TrainConfig(tol=QUERY_TOL))
     return res
 
 

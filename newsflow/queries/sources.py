@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsflow.operators import features as FT
-from newsflow.operators.scoring import top_k_per_group
 from newsflow.plans.model import TrainConfig, train
 from newsflow.queries import duck as D
 from newsflow.queries.features import cleaned
@@ -13,8 +12,6 @@ from newsflow.session import staging_path
 from newsflow.sources import news as N
 from newsflow.sources.tables import documents, read_table
 
-LEXICON_K = 25  # words per category in the derived lexicon (a top-k report)
-
 
 def q_json_roundtrip(spark, sf):
     """S2 then S1: dump ``documents`` as a JSON-lines collection, read it back."""
@@ -38,13 +35,11 @@ def q_read_news(spark, sf):
 
 
 def lexicon_words(spark, sf):
-    """(category, word): the top-k words of each language by in-language
-    document frequency (ties by word)."""
+    """(category, word): all words of each language."""
     terms = FT.doc_terms(cleaned(spark, sf), "doc_id").join(
         read_table(spark, sf, "documents").select("doc_id", F.col("lang").alias("category")), "doc_id")
     cdf = terms.groupBy("category", F.col("term").alias("word")).agg(F.count(F.lit(1)).alias("df"))
-    return top_k_per_group(cdf, "category", [F.desc("df"), F.asc("word")], LEXICON_K, "word") \
-        .select("category", "word")
+    return cdf.select("category", "word")
 
 
 def _written_lexicon(spark, sf):
@@ -72,7 +67,7 @@ def q_lexicon_train(spark, sf):
     rows = lex.select("category", F.array_join("words", ", ").alias("text"),
                       F.col("category").alias("label"))
     model, _ = train(rows, TrainConfig(key="category", label_col="label", test_fraction=0.0,
-                                       max_iter=100))
+                                       tol=1e-4))
     return model.with_input("doc_id").score_rows(documents(spark, sf)).select(
         "doc_id", "Predicted Category")
 
@@ -90,8 +85,7 @@ _TOP = (f"d AS (SELECT doc_id, lang, list_distinct({_KEPT}) AS t FROM documents)
         f"dt AS (SELECT DISTINCT doc_id, lang, term FROM (SELECT doc_id, lang, unnest(t) AS term FROM d) "
         f"WHERE length(term) >= 2), "
         f"cdf AS (SELECT lang AS category, term AS word, count(*) AS df FROM dt GROUP BY 1, 2), "
-        f"top AS (SELECT category, word FROM (SELECT *, row_number() OVER "
-        f"(PARTITION BY category ORDER BY df DESC, word ASC) AS r FROM cdf) WHERE r <= {LEXICON_K})")
+        f"top AS (SELECT category, word FROM cdf)")
 
 SQL = {
     "json_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS _id, doc_id, text, lang, source, n_chars "

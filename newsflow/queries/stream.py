@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from newsflow.operators import updates as U
 from newsflow.plans.model import TrainConfig
 from newsflow.plans.retrain import retrain_if_updated
-from newsflow.queries.model import QUERY_MAX_ITER, trained
+from newsflow.queries.model import QUERY_TOL, trained
 from newsflow.session import staging_path
 from newsflow.sources.tables import read_table
 from newsflow.streaming.score import score_stream, scored
@@ -45,7 +45,7 @@ def q_retrain(spark, sf):
     docs = read_table(spark, sf, "documents")
     docs.withColumn("collection", F.col("source")).write.partitionBy("collection").parquet(landing)
     out = retrain_if_updated(spark, landing, docs.schema, state, mdir,
-                             TrainConfig(max_iter=QUERY_MAX_ITER))
+                             TrainConfig(tol=QUERY_TOL))
     return out["accuracy"]
 
 

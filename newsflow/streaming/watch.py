@@ -59,9 +59,8 @@ def registry(spark: SparkSession, state: str) -> DataFrame:
 
 def new_in_last_batch(spark: SparkSession, state: str) -> DataFrame:
     """Collections first seen in the most recent micro-batch (U1 on the registry)."""
-    reg = registry(spark, state)
-    last = reg.agg(F.max("first_batch")).scalar()
-    return reg.where(F.col("first_batch") == last)
+    last = arrivals(spark, state).agg(F.max("batch_id")).first()[0]
+    return registry(spark, state).where(F.col("first_batch") == F.lit(last))
 
 
 def update_log(spark: SparkSession, state: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
@@ -44,6 +45,26 @@ def test_retrain_only_when_something_new(spark, scratch):
     first = retrain_if_updated(spark, landing, docs.schema, state, f"{scratch}/m1", cfg)
     assert first is not None and first["accuracy"].first()["collection"] == "src1"
     assert retrain_if_updated(spark, landing, docs.schema, state, f"{scratch}/m2", cfg) is None
+    # more files of a known collection are no new collection
+    docs.limit(5).write.parquet(f"{landing}/collection=src1/more")
+    assert retrain_if_updated(spark, landing, docs.schema, state, f"{scratch}/m2", cfg) is None
+
+
+def test_failed_training_is_tried_again(spark, scratch, monkeypatch):
+    from newsflow.plans import retrain as R
+    landing, state = f"{scratch}/landing", f"{scratch}/state"
+    docs = read_table(spark, SF0001, "documents")
+    docs.withColumn("collection", F.lit("c1")).write.partitionBy("collection").parquet(landing)
+    real = R.train
+
+    def broken(*a):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(R, "train", broken)
+    with pytest.raises(RuntimeError):
+        retrain_if_updated(spark, landing, docs.schema, state, f"{scratch}/m", TrainConfig(max_iter=5))
+    monkeypatch.setattr(R, "train", real)
+    assert retrain_if_updated(spark, landing, docs.schema, state, f"{scratch}/m", TrainConfig(max_iter=5))
 
 
 def test_read_news_csv_and_parquet(spark, scratch):

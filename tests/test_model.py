@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from newsflow.plans.model import (TextModel, TrainConfig, classifier, feature_frame,
+from newsflow.plans.model import (TextModel, TrainConfig, bounded, classifier, feature_frame,
                                   fit_features, prepared, train)
 from newsflow.sources.tables import documents, read_table
 
@@ -89,9 +89,18 @@ def test_score_distinct_matches_row_scores(spark, fitted):
     assert all(once[r.Content] == r["Predicted Category"] for r in rows)
 
 
-def test_oversized_model_is_refused(spark):
-    with pytest.raises(ValueError, match="max_coefficients"):
-        train(documents(spark, SF0001), TrainConfig(max_iter=5, max_coefficients=100))
+def test_fit_rows_are_bounded_by_labelled_rows(spark):
+    docs = documents(spark, SF0001)
+    assert bounded(docs, TrainConfig()).count() == docs.count()
+    some = bounded(docs, TrainConfig(max_fit_rows=50))
+    assert 20 <= some.count() <= 90
+    assert {r.doc_id for r in some.collect()} == {
+        r.doc_id for r in bounded(docs.repartition(3), TrainConfig(max_fit_rows=50)).collect()}
+
+
+def test_fit_ends_before_the_iteration_limit(spark):
+    model, _ = train(documents(spark, SF0001), TrainConfig(tol=1e-4))
+    assert model.pipeline.stages[3].summary.totalIterations < 1000
 
 
 def test_null_and_empty_text_score_to_a_class(spark, fitted):

@@ -61,9 +61,9 @@ def bands(sig: np.ndarray, n: int = BANDS) -> np.ndarray:
     return h.view(np.int64)
 
 
-def _link(sets: list[np.ndarray], side: np.ndarray, threshold: int) -> list[tuple[int, int]]:
+def _link(sets: list[np.ndarray], side: np.ndarray, cross: bool, threshold: int) -> list[tuple[int, int]]:
     """A spanning forest of the links between ``sets``, by exact sizes of their
-    intersections; ``side`` holds 0 or 1, and with both present only pairs across count."""
+    intersections; with ``cross`` only pairs of one set of each side count."""
     n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
     owner = np.repeat(np.arange(n), sizes)
@@ -82,7 +82,7 @@ def _link(sets: list[np.ndarray], side: np.ndarray, threshold: int) -> list[tupl
         common += m @ m.T
     common = common.astype(np.int64)
     ok = 100 * common >= threshold * (sizes[:, None] + sizes[None, :] - common)
-    if side.any() and not side.all():
+    if cross:
         ok &= side[:, None] != side[None, :]
     root, forest = np.arange(n), []
     for i, j in zip(*np.nonzero(np.triu(ok, 1))):
@@ -158,7 +158,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
             names = list(got)
             side = np.array([mine == b and a != b for mine, _ in got.values()])
             arrays = [np.frombuffer(raw, np.uint64) for _, raw in got.values()]
-            for i, j in _link(arrays, side, threshold):
+            for i, j in _link(arrays, side, a != b, threshold):
                 yield names[i], names[j]
 
     linked = components(arrow_map(paired, verify, "u binary, v binary"))

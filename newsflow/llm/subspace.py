@@ -70,10 +70,11 @@ def homes(r: np.ndarray, dims: int, reach: float) -> tuple[list[int], list[list[
     return home.tolist(), [[int(h) - s for h, s in zip(home, step)] for step in steps]
 
 
-def _pairs(r: np.ndarray, home: np.ndarray, cell: np.ndarray, side: np.ndarray, block: int,
+def _pairs(r: np.ndarray, home: np.ndarray, cell: np.ndarray, side: np.ndarray, cross: bool, block: int,
            edges: list[tuple[int, int]], share: float, threshold: float):
-    """Indices of the linked pairs among rotated unit vectors ``r`` that this cell and block count."""
-    n, cross = len(r), side.any() and not side.all()
+    """Indices of the linked pairs among rotated unit vectors ``r`` that this cell and
+    block count; with ``cross`` only pairs of one vector of each side."""
+    n = len(r)
     y = r[:, slice(*edges[block])]
     norm = (y ** 2).sum(axis=1)
     for lo in range(0, n, 256):
@@ -175,7 +176,7 @@ def near_vectors(vectors: DataFrame, key: str = "vec_id", vector: str = "embeddi
             copies = np.array([g[9] for g in group], np.float64)
             edges = _edges(dim, blocks)
             links, root = np.zeros(len(r)), np.arange(len(r))
-            for i, j in _pairs(r, home, np.array(where, int), side, block, edges, budget / len(edges), threshold):
+            for i, j in _pairs(r, home, np.array(where, int), side, a != b, block, edges, budget / len(edges), threshold):
                 links += np.bincount(i, copies[j], len(r)) + np.bincount(j, copies[i], len(r))
                 joined, root = _forest(len(r), i, j, root)
                 for p, q in joined:

@@ -114,37 +114,42 @@ def fit(texts: list[str], langs: list[str], seed: int = 10, epochs: int = 12, ba
     rng = np.random.default_rng(seed)
     y = np.array([labels.index(x) for x in langs])
     fitted = np.arange(len(texts)) % 5 != 0 if len(texts) >= 20 else np.ones(len(texts), bool)
-    words = [tokens(t) for t in texts]
-    emb = rng.normal(0, 0.1, (BUCKETS, DIM)).astype(np.float32)
-    layer, bias = np.zeros((DIM, len(labels)), np.float32), np.zeros(len(labels), np.float32)
-    rows = np.flatnonzero(fitted & np.array([bool(w) for w in words], bool))
+    index: dict[bytes, int] = {}
+    words = [np.array([index.setdefault(w, len(index)) for w in tokens(t)], np.int64) for t in texts]
+    grams, size = subwords(list(index))
+    first = np.cumsum(size) - size
+    emb = rng.normal(0, 0.1, (DIM, BUCKETS))
+    layer, bias = np.zeros((DIM, len(labels))), np.zeros(len(labels))
+    rows = np.flatnonzero(fitted & np.array([len(w) > 0 for w in words], bool))
     weight = 1 / np.maximum(1, np.bincount(y[rows], minlength=len(labels)))
     chance = weight[y[rows]] / weight[y[rows]].sum() if len(rows) else None
     steps = epochs * max(1, len(rows) // batch) if len(rows) and len(labels) > 1 else 0
     for step in range(steps):
         pick = rng.choice(rows, batch, p=chance)
-        grams, n = [], []
+        pieces = []
         for i in pick:
             at = rng.integers(max(1, len(words[i]) - piece + 1))
-            g, _ = subwords(words[i][at:at + piece])
-            grams.append(g)
-            n.append(len(g))
-        flat, n = np.concatenate(grams), np.array(n)
-        mean = np.add.reduceat(emb[flat], np.cumsum(n) - n) / n[:, None]
+            pieces.append(words[i][at:at + piece])
+        # each distinct word of the batch once; ``held`` counts it in each piece
+        ids, at = np.unique(np.concatenate(pieces), return_inverse=True)
+        own = np.repeat(np.arange(batch), [len(x) for x in pieces])
+        held = np.bincount(own * len(ids) + at, minlength=batch * len(ids)).reshape(batch, -1).astype(float)
+        n = size[ids]
+        flat = grams[np.repeat(first[ids] - (np.cumsum(n) - n), n) + np.arange(n.sum())]
+        word = np.repeat(np.arange(len(ids)), n)
+        sums = np.stack([np.bincount(word, row[flat], len(ids)) for row in emb], axis=1)
+        total = (held @ n)[:, None]
+        mean = held @ sums / total
         p = softmax(mean @ layer + bias)
         p[np.arange(batch), y[pick]] -= 1
         p /= batch
         lr = rate * (1 - step / steps)
-        back = (p @ layer.T) / n[:, None]
+        back = held.T @ (p @ layer.T / total)
         layer -= lr * 0.05 * (mean.T @ p)
         bias -= lr * 0.05 * p.sum(axis=0)
-        ids, inverse = np.unique(flat, return_inverse=True)
-        grad = np.zeros((len(ids), DIM), np.float32)
-        per = np.repeat(np.arange(batch), n)
-        for d in range(DIM):
-            grad[:, d] = np.bincount(inverse, back[per, d], minlength=len(ids))
-        emb[ids] -= lr * grad
-    model = Model(labels, (emb @ layer).astype(np.float64), bias.astype(np.float64))
+        for row, b in zip(emb, back.T):
+            row -= lr * np.bincount(flat, b[word], BUCKETS)
+    model = Model(labels, emb.T @ layer, bias)
     held = np.flatnonzero(~fitted) if (~fitted).any() else np.arange(len(texts))
     if len(held) and len(labels) > 1:
         z = model.scorer()([texts[i] for i in held])

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from newsflow.functions import text as T
+from newsflow.session import materialize
 
 
 def split_threshold(fraction: float) -> str:
@@ -65,7 +66,11 @@ def idf_from_docs(train: DataFrame, key: str, tokens: str = "tokens", min_df: in
 
 
 def tfidf(terms_long: DataFrame, idf: DataFrame, key: str) -> DataFrame:
-    """M4 + M5: (key, term, weight), L2-normalised per document; unknown terms dropped."""
+    """M4 + M5: (key, term, weight), L2-normalised per document; unknown terms dropped.
+
+    The vocabulary is staged, so both sides of the join have an exchange of
+    their own and a hot term's rows can be split."""
+    idf = materialize(idf)
     j = terms_long.join(idf.select("term", "idf"), "term")
     norm = F.sqrt(F.sum(F.col("idf") * F.col("idf")).over(Window.partitionBy(key)))
     return j.select(key, "term", (F.col("idf") / norm).alias("weight"))

@@ -8,7 +8,7 @@ Words in the exception table use only their listed lemmas (plus themselves).
 
 The lexicon is data, not code: by default the training vocabulary, or any
 (form) table the caller supplies. Lemmas are computed once per *distinct*
-token and joined back, so the per-token work is one equi-join.
+token; only tokens that change are joined back to their rows.
 """
 
 from __future__ import annotations
@@ -47,8 +47,10 @@ def _rule_outputs(f):
     return F.filter(F.array(*outs), lambda x: x.isNotNull())
 
 
-def rule_chains(token) -> Column:
-    """Every form reachable from ``token`` by repeated rule application.
+def rule_chains(token, longest: int | None = None) -> Column:
+    """Every form reachable from ``token`` by repeated rule application; with
+    ``longest`` only those of at most so many characters, so that a long run of
+    's' costs no list of long forms that no lexicon holds.
 
     Array of (cand, path, depth): depth = number of rules applied, path = the
     rule numbers applied in order (so paths of one depth sort in candidate
@@ -62,9 +64,10 @@ def rule_chains(token) -> Column:
 
     def step(acc, d):
         nxt = F.flatten(F.transform(acc["front"], _rule_outputs))
+        short = nxt if longest is None else F.filter(nxt, lambda x: F.length(x["cand"]) <= longest)
         return F.struct(
             nxt.alias("front"),
-            F.concat(acc["out"], F.transform(nxt, lambda x: F.struct(
+            F.concat(acc["out"], F.transform(short, lambda x: F.struct(
                 x["cand"].alias("cand"), x["path"].alias("path"), d.alias("depth")))).alias("out"))
 
     # a chain continues only through rules that leave a trailing 's', and each
@@ -78,32 +81,34 @@ def lemma_table(tokens: DataFrame, lexicon: DataFrame,
                 exceptions: DataFrame | None = None) -> DataFrame:
     """(token) -> (token, lemma) for every distinct token.
 
-    Candidates: the token (depth 0) and its rule chains. Round 1 is depth 0
-    and 1 together, round k is depth k. The lemma is the lexicon hit of the
-    earliest round, shortest first, earlier candidate on ties; a token with
-    no hit keeps its form. One lexicon join and one aggregation by token.
+    Round 1 holds the token and its forms by one rule, round k those by k
+    rules. The lemma is the lexicon hit of the earliest round, shortest first,
+    earlier candidate on ties; a token with no hit keeps its form. Most tokens
+    hit in round 1; only the others go through the whole chain of rules.
     ``exceptions`` (form, lemma): such tokens use only their listed lemmas.
     """
-    lex = lexicon.select(F.col(lexicon.columns[0]).alias("cand")).distinct() \
-        .withColumn("_hit", F.lit(True))
+    lex = materialize(lexicon.select(F.col(lexicon.columns[0]).alias("cand")).distinct())
     toks = tokens.select(F.col(tokens.columns[0]).alias("token")).distinct()
-    own = F.struct(F.col("token").alias("cand"), F.lit("").alias("path"), F.lit(0).alias("depth"))
-    chains = F.concat(F.array(own), rule_chains("token"))
+    own = F.struct(F.col("token").alias("cand"), F.lit("").alias("path"))
+    first, listed = F.concat(F.array(own), _rule_outputs(own)), F.lit(False)
     if exceptions is not None:
         exc = exceptions.select(F.col(exceptions.columns[0]).alias("token"),
                                 F.col(exceptions.columns[1]).alias("_exc"))
-        listed = exc.groupBy("token").agg(F.collect_list("_exc").alias("_excs"))
-        toks = toks.join(listed, "token", "left")
-        exc_cands = F.concat(F.array(own), F.transform(
-            "_excs", lambda e, i: F.struct(e.alias("cand"), F.format_string("%09d", i + 1).alias("path"),
-                                           F.lit(1).alias("depth"))))
-        chains = F.when(F.col("_excs").isNotNull(), exc_cands).otherwise(chains)
-    cands = toks.select("token", F.inline(chains))
-    flagged = cands.join(lex, "cand", "left")
-    order = F.when(F.col("_hit"), F.struct(F.greatest("depth", F.lit(1)).alias("round"),
-                                           F.length("cand").alias("len"), F.col("path")))
-    best = flagged.groupBy("token").agg(F.min_by("cand", order).alias("lemma"))
-    return best.select("token", F.coalesce("lemma", "token").alias("lemma"))
+        toks = toks.join(exc.groupBy("token").agg(F.collect_list("_exc").alias("_excs")), "token", "left")
+        listed = F.col("_excs").isNotNull()
+        first = F.when(listed, F.concat(F.array(own), F.transform("_excs", lambda e, i: F.struct(
+            e.alias("cand"), F.format_string("%09d", i + 1).alias("path"))))).otherwise(first)
+    order = F.struct(F.length("cand").alias("len"), F.col("path"))
+    hits = toks.select("token", listed.alias("listed"), F.inline(first)).join(
+        lex.withColumn("_hit", F.lit(True)), "cand", "left")
+    best = materialize(hits.groupBy("token").agg(
+        F.min_by("cand", F.when(F.col("_hit"), order)).alias("lemma"), F.first("listed").alias("listed")))
+    open_ = best.where(F.col("lemma").isNull() & ~F.col("listed") & F.col("token").rlike(RULE_SUFFIX)).select("token")
+    longest = lex.agg(F.max(F.length("cand"))).first()[0] or 0
+    later = open_.select("token", F.inline(rule_chains("token", longest))).join(lex, "cand")
+    later = later.groupBy("token").agg(
+        F.min_by("cand", F.struct("depth", F.length("cand").alias("len"), "path")).alias("_later"))
+    return best.join(later, "token", "left").select("token", F.coalesce("lemma", "_later", "token").alias("lemma"))
 
 
 def changed_lemmas(tokens: DataFrame, lexicon: DataFrame,
@@ -129,33 +134,33 @@ def lemma_changes(lemmas: DataFrame) -> DataFrame:
 RULE_SUFFIX = "(s|men)$"
 
 
-def lemmatize_tokens(df: DataFrame, key, lemmas: DataFrame, tokens: str = "tokens",
-                     only: str | None = None) -> DataFrame:
+#: Names a row while its tokens are away from it.
+ROW_ID = "_row_id"
+
+
+def with_row_ids(df: DataFrame) -> DataFrame:
+    """``df`` staged with a number for each row, so that all its readers see the same one."""
+    return materialize(df.withColumn(ROW_ID, F.monotonically_increasing_id()))
+
+
+def lemmatize_tokens(df: DataFrame, lemmas: DataFrame, tokens: str = "tokens", only: str | None = None) -> DataFrame:
     """Replace every token by its lemma; result tokens distinct and sorted.
 
-    ``key`` (a column name or list of names) must identify rows. One row per
-    (key, token) joins the (token, lemma) map -- AQE broadcasts the map when
-    its measured size is small and otherwise keeps a skew-split sort-merge
-    join -- then rows regroup by ``key`` (a group is one document). With
-    ``only`` (a regex, e.g. ``RULE_SUFFIX``), just the tokens that can change
-    are exploded; the rest, and the row's other columns, ride along once per
-    row on its first exploded token, so neither long texts nor unchanged
-    tokens are copied per token.
+    One row out per row in, whatever its columns hold: rows are named by
+    ``ROW_ID`` (see ``with_row_ids``; numbered here if they are not yet), so
+    repeated or null keys do not matter. Only (row id, token) goes to the join
+    with the (token, lemma) map, and only tokens that the map changes come
+    back; the row's other columns never pass that shuffle. With ``only`` (a
+    regex, e.g. ``RULE_SUFFIX``) just the tokens that can change are sent.
     """
-    keys = [key] if isinstance(key, str) else list(key)
-    rest = [c for c in df.columns if c not in keys and c != tokens]
+    names = df.columns
+    if ROW_ID not in names:
+        df = with_row_ids(df)
     toks = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
-    if only:
-        keep = F.filter(toks, lambda t: ~t.rlike(only))
-        move = F.filter(toks, lambda t: t.rlike(only))
-    else:
-        keep, move = F.array().cast("array<string>"), toks
-    ex = df.select(*keys, F.struct(*[F.col(c) for c in rest], keep.alias("_keep")).alias("_rest"),
-                   F.posexplode_outer(move).alias("_pos", "token"))
-    ex = ex.withColumn("_rest", F.when(F.coalesce(F.col("_pos"), F.lit(0)) == 0, F.col("_rest")))
-    mapped = (ex.join(lemmas.select("token", "lemma"), "token", "left")
-              .select(*keys, "_rest", F.coalesce("lemma", "token").alias("lemma")))
-    g = mapped.groupBy(*keys).agg(F.first("_rest", ignorenulls=True).alias("_rest"),
-                                  F.collect_set("lemma").alias("_moved"))
-    merged = F.array_sort(F.array_distinct(F.concat("_rest._keep", "_moved")))
-    return g.select(*keys, *[F.col(f"_rest.{c}").alias(c) for c in rest], merged.alias(tokens))
+    sent = F.array_distinct(F.filter(toks, lambda t: t.rlike(only)) if only else toks)
+    changes = (df.select(ROW_ID, F.explode(sent).alias("token")).join(lemmas.select("token", "lemma"), "token")
+               .groupBy(ROW_ID).agg(F.map_from_entries(F.collect_set(F.struct("token", "lemma"))).alias("_map")))
+    new = F.transform(toks, lambda t: F.coalesce(F.col("_map")[t], t))
+    merged = F.array_sort(F.array_distinct(F.when(F.col("_map").isNull(), toks).otherwise(new)))
+    return (df.join(changes, ROW_ID, "left").withColumn(tokens, merged)
+            .select(*[c for c in names if c != ROW_ID]))

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import BinaryType, FractionalType, NumericType, StringType
 
 from newsflow.session import materialize
 
@@ -53,10 +53,27 @@ def column_info(df: DataFrame) -> DataFrame:
 
 
 def nunique(df: DataFrame, approx: bool = False) -> DataFrame:
-    """Distinct non-null values per column (``approx`` uses HyperLogLog++)."""
-    fn = F.approx_count_distinct if approx else F.count_distinct
-    wide = df.agg(*[fn(F.col(c)).alias(c) for c in df.columns])
-    return wide.unpivot([], df.columns, "column_name", "n_unique")
+    """Distinct non-null values per column (``approx`` uses HyperLogLog++).
+
+    Exact counts compare SHA-256 digests of strings, so no text is shuffled.
+    """
+    if approx:
+        wide = df.agg(*[F.approx_count_distinct(F.col(c)).alias(c) for c in df.columns])
+        return wide.unpivot([], df.columns, "column_name", "n_unique")
+
+    def short(f):
+        if isinstance(f.dataType, (StringType, BinaryType)):
+            return F.sha2(F.col(f.name).cast("binary"), 256)
+        # 0.0 and -0.0 are one value
+        return (F.col(f.name) + F.lit(0.0) if isinstance(f.dataType, FractionalType) else F.col(f.name)).cast("string")
+
+    cells = df.select(F.explode(F.array(*[
+        F.struct(F.lit(f.name).alias("column_name"), short(f).alias("value")) for f in df.schema.fields]))
+        .alias("c")).select("c.*")
+    counts = cells.where("value IS NOT NULL").distinct().groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
+    names = df.sparkSession.createDataFrame([(c,) for c in df.columns], "column_name string")
+    return names.join(counts, "column_name", "left").select(
+        "column_name", F.coalesce("n", F.lit(0)).cast("long").alias("n_unique"))
 
 
 def column_kinds(df: DataFrame) -> DataFrame:
@@ -68,9 +85,10 @@ def column_kinds(df: DataFrame) -> DataFrame:
 
 
 def shape(df: DataFrame) -> DataFrame:
-    """Row and column counts."""
+    """Row and column counts, and the columns by name."""
     return df.agg(F.count(F.lit(1)).alias("n_rows"),
-                  F.lit(len(df.columns)).cast("bigint").alias("n_cols"))
+                  F.lit(len(df.columns)).cast("bigint").alias("n_cols"),
+                  F.lit(", ".join(df.columns)).alias("columns"))
 
 
 def _long_values(df: DataFrame, cols: list[str]) -> DataFrame:

@@ -10,18 +10,24 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from newsflow.session import materialize
+
 
 def class_centroids(weights: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
     """(label, term, w): mean feature weight per class over the labelled keys."""
     n_cls = labels.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
     sums = (weights.join(labels.select(key, label), key)
             .groupBy(label, "term").agg(F.sum("weight").alias("_s")))
-    return sums.join(n_cls, label).select(label, "term", (F.col("_s") / F.col("_nc")).alias("w"))
+    return sums.join(F.broadcast(n_cls), label).select(label, "term", (F.col("_s") / F.col("_nc")).alias("w"))
 
 
 def linear_scores(features: DataFrame, model: DataFrame, key: str, label: str) -> DataFrame:
-    """(key, label, score) = sum over shared terms of x * w (sparse dot product)."""
-    return (features.join(model, "term")
+    """(key, label, score) = sum over shared terms of x * w (sparse dot product).
+
+    The weights of a term, one a class, travel as one row; they are staged, so
+    that the join can split a hot term's rows."""
+    per_term = materialize(model.groupBy("term").agg(F.collect_list(F.struct(label, "w")).alias("_w")))
+    return (features.join(per_term, "term").select(key, "weight", F.inline("_w"))
             .groupBy(key, label).agg(F.sum(F.col("weight") * F.col("w")).alias("score")))
 
 

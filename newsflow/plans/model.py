@@ -7,13 +7,15 @@ L2-normalised. Classifier: multinomial logistic regression with the penalty
 ``0.5 * ||w||^2`` on the summed log-loss, i.e. Spark's mean-loss objective
 with ``regParam = 1 / n_train`` and no standardization.
 
-The saved artefact is one folder: a ``PipelineModel`` (vectorizer, scaling,
-normaliser, classifier, index-to-label) plus the lemma lexicon as a parquet
-table. Cleaning itself is code (column expressions) and needs no state.
+The saved artefact is one folder of versions: each has a ``PipelineModel``
+(vectorizer, scaling, normaliser, classifier, index-to-label) and the lemma
+lexicon as a parquet table; a small table names the versions. Cleaning itself is code (column expressions) and needs no state.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -21,15 +23,14 @@ from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import (CountVectorizer, ElementwiseProduct, IDF, IndexToString,
                                 Normalizer, StringIndexer)
 from pyspark.ml.linalg import DenseVector
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from newsflow.functions import text as T
 from newsflow.operators import metrics as M
 from newsflow.operators.clean import clean_text
 from newsflow.operators.features import is_test
-from newsflow.operators.lemma import RULE_SUFFIX, changed_lemmas, lemmatize_tokens
+from newsflow.operators.lemma import RULE_SUFFIX, changed_lemmas, lemmatize_tokens, with_row_ids
 from newsflow.session import materialize
 
 
@@ -37,6 +38,8 @@ PRED = "prediction_label"
 
 #: The largest size the vectorizer can be given: no term is cut.
 VOCABULARY_LIMIT = (1 << 31) - 1
+#: One row for each saved version of a model.
+VERSION = "name string, saved double, lemmas boolean, key array<string>, text_col string"
 
 
 @dataclass
@@ -70,13 +73,14 @@ class TextModel:
 
         The raw text is dropped after cleaning. With lemmas, the cleaned frame
         is read twice (distinct tokens, then the per-token join), so it is
-        checkpointed once instead of re-running the regex work.
+        staged once instead of re-running the regex work. One row out per row
+        in, also where the key repeats or is null.
         """
         c = clean_text(df, self.text_col, processed_col=None).drop(self.text_col)
         if self.lexicon is not None:
-            c = materialize(c)
+            c = with_row_ids(c)
             toks = c.select(F.explode("tokens").alias("token")).distinct()
-            c = lemmatize_tokens(c, self.key, changed_lemmas(toks, self.lexicon), only=RULE_SUFFIX)
+            c = lemmatize_tokens(c, changed_lemmas(toks, self.lexicon), only=RULE_SUFFIX)
         return c.withColumn("terms", T.terms("tokens"))
 
     def transform(self, df: DataFrame) -> DataFrame:
@@ -105,22 +109,23 @@ class TextModel:
 
     # ---------------------------------------------------------- persistence
     def save(self, path: str) -> None:
-        """One folder; the pipeline and lexicon can't drift apart."""
-        self.pipeline.write().overwrite().save(f"{path}/pipeline")
+        """A fresh folder for pipeline and lexicon, then a row in ``versions``
+        that makes it the current one; a save that fails leaves the last one."""
+        name, keys = uuid.uuid4().hex, [self.key] if isinstance(self.key, str) else list(self.key)
+        self.pipeline.write().save(f"{path}/{name}/pipeline")
         if self.lexicon is not None:
-            self.lexicon.write.mode("overwrite").parquet(f"{path}/lexicon")
+            self.lexicon.write.parquet(f"{path}/{name}/lexicon")
+        SparkSession.getActiveSession().createDataFrame(
+            [(name, time.time(), self.lexicon is not None, keys, self.text_col)],
+            VERSION).coalesce(1).write.mode("append").parquet(f"{path}/versions")
 
     @classmethod
-    def load(cls, spark, path: str, key: str = "doc_id", text_col: str = "text") -> "TextModel":
-        """No pickle -- Spark reads the stage metadata and parameters."""
-        pipe = PipelineModel.load(f"{path}/pipeline")
-        try:
-            lex = spark.read.parquet(f"{path}/lexicon")
-        except AnalysisException as e:  # no lexicon folder: model trained without lemmas
-            if "PATH_NOT_FOUND" not in str(e) and "Path does not exist" not in str(e):
-                raise
-            lex = None
-        return cls(pipe, lex, key, text_col)
+    def load(cls, spark, path: str, key: str | list | None = None, text_col: str | None = None) -> "TextModel":
+        """The version saved last; key and text column are the saved ones unless given."""
+        v = spark.read.schema(VERSION).parquet(f"{path}/versions").orderBy(F.desc("saved")).first()
+        lexicon = spark.read.parquet(f"{path}/{v.name}/lexicon") if v.lemmas else None
+        saved = v.key[0] if len(v.key) == 1 else list(v.key)
+        return cls(PipelineModel.load(f"{path}/{v.name}/pipeline"), lexicon, key or saved, text_col or v.text_col)
 
 
 def prepare(df: DataFrame, cfg: TrainConfig) -> DataFrame:
@@ -146,7 +151,7 @@ def bounded(df: DataFrame, cfg: TrainConfig) -> DataFrame:
 
 def prepared(df: DataFrame, cfg: TrainConfig):
     """Cleaned, lemmatized, split-flagged frame (checkpointed) and the lexicon."""
-    prep = materialize(prepare(bounded(df, cfg), cfg))  # regex cleaning runs once
+    prep = with_row_ids(prepare(bounded(df, cfg), cfg))  # regex cleaning runs once
     lexicon = None
     if cfg.lemmas:
         # one pass: every distinct token, flagged when a training document has it
@@ -154,7 +159,7 @@ def prepared(df: DataFrame, cfg: TrainConfig):
                            .groupBy("token").agg(F.min(F.col("is_test").cast("int")).alias("_t")))
         lexicon = seen.where(F.col("_t") == 0).select(F.col("token").alias("form"))
         changes = changed_lemmas(seen.select("token"), lexicon)
-        prep = lemmatize_tokens(prep, cfg.key, changes, only=RULE_SUFFIX)
+        prep = lemmatize_tokens(prep, changes, only=RULE_SUFFIX)
     prep = materialize(prep.withColumn("terms", T.terms("tokens")))
     return prep, lexicon
 
@@ -217,7 +222,8 @@ def train(df: DataFrame, cfg: TrainConfig | None = None):
 
 
 def evaluate(preds: DataFrame) -> dict[str, DataFrame]:
-    """M8-M11 on (label, prediction)."""
+    """M8-M11 on (label, prediction); the test split is scored once."""
+    preds = materialize(preds.select("label", "prediction"))
     return {"accuracy": M.accuracy(preds), "confusion_matrix": M.confusion_matrix(preds),
             "classification_report": M.classification_report(preds)}
 

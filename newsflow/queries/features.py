@@ -8,9 +8,9 @@ from newsflow.functions import text as T
 from newsflow.operators import features as FT
 from newsflow.operators.clean import clean_text
 from newsflow.operators.lemma import (NOUN_RULES, RULE_SUFFIX, changed_lemmas, lemma_table,
-                                      lemmatize_tokens)
+                                      lemmatize_tokens, with_row_ids)
 from newsflow.queries import duck as D
-from newsflow.sources.tables import documents
+from newsflow.sources.tables import documents, read_table, spread
 from newsflow.session import materialize
 
 KEY = "doc_id"
@@ -37,12 +37,22 @@ def q_lemma_table(spark, sf):
 
 
 def q_lemmatize(spark, sf):
-    df = cleaned_once(spark, sf)
+    df = with_row_ids(cleaned(spark, sf).select(KEY, "lang", "tokens"))
     toks = df.select(F.explode("tokens").alias("token")).distinct()
-    lem = lemmatize_tokens(df, KEY, changed_lemmas(toks, toks), only=RULE_SUFFIX)
+    lem = lemmatize_tokens(df, changed_lemmas(toks, toks), only=RULE_SUFFIX)
     return lem.select(KEY, "lang", T.join_tokens("tokens").alias("processed_text"))
 
 
+def q_lemmatize_turns(spark, sf):
+    """T10 on a table whose key repeats, against the words of another table."""
+    turns = spread(read_table(spark, sf, "conversations")).select("conv_id", "role", "text")
+    df = with_row_ids(clean_text(turns, processed_col=None).select("conv_id", "role", "tokens"))
+    lexicon = cleaned(spark, sf).select(F.explode("tokens").alias("form")).distinct()
+    toks = df.select(F.explode("tokens").alias("token")).distinct()
+    lem = lemmatize_tokens(df, changed_lemmas(toks, lexicon), only=RULE_SUFFIX)
+    return lem.select("conv_id", "role", T.join_tokens("tokens").alias("processed_text"))
+
+
 def q_train_split(spark, sf):
     return documents(spark, sf).select(
         KEY, "lang", F.when(FT.is_test(KEY), "test").otherwise("train").alias("split"))
@@ -76,6 +86,7 @@ def q_label_index(spark, sf):
 QUERIES = {
     "lemma_table": q_lemma_table,
     "lemmatize": q_lemmatize,
+    "lemmatize_turns": q_lemmatize_turns,
     "train_split": q_train_split,
     "vocabulary": q_vocabulary,
     "idf": q_idf,
@@ -89,6 +100,9 @@ _SPLIT = "substr(md5(concat('42:', CAST(doc_id AS VARCHAR))), 1, 8) < '33333333'
 _DOCS = f"d AS (SELECT doc_id, lang, list_distinct({_KEPT}) AS t FROM documents)"
 
 
+_RULES = ", ".join(f"({i}, {D.q(old)}, {D.q(new)})" for i, (old, new) in enumerate(NOUN_RULES, start=1))
+
+
 def _lemma_ctes() -> str:
     rules = " UNION ALL ".join(
         f"SELECT token, left(token, length(token) - {len(old)}) || {D.q(new)} AS cand, {i} AS seq "
@@ -116,6 +130,21 @@ SQL = {
                  f"SELECT d.doc_id, d.lang, "
                  f"coalesce(array_to_string(list_sort(list_distinct(lm.ls)), ' '), '') AS processed_text "
                  f"FROM d LEFT JOIN lm ON d.doc_id = lm.doc_id",
+    "lemmatize_turns": f"WITH RECURSIVE {_DOCS}, lx AS (SELECT DISTINCT unnest(t) AS cand FROM d), "
+                       f"r(seq, old, new) AS (VALUES {_RULES}), "
+                       f"cv AS (SELECT row_number() OVER () AS rid, conv_id, role, list_distinct({_KEPT}) AS t "
+                       f"FROM conversations), "
+                       f"tok AS (SELECT DISTINCT unnest(t) AS token FROM cv), "
+                       f"ch AS (SELECT token, token AS cand, 0 AS depth, '' AS path FROM tok UNION ALL "
+                       f"SELECT token, left(cand, length(cand) - length(old)) || new, depth + 1, path || seq "
+                       f"FROM ch JOIN r ON suffix(cand, old)), "
+                       f"best AS (SELECT token, first(cand ORDER BY greatest(depth, 1), length(cand), path) AS lemma "
+                       f"FROM ch JOIN lx USING (cand) GROUP BY token), "
+                       f"lm AS (SELECT rid, list(coalesce(lemma, token)) AS ls "
+                       f"FROM (SELECT rid, unnest(t) AS token FROM cv) LEFT JOIN best USING (token) GROUP BY rid) "
+                       f"SELECT conv_id, role, "
+                       f"coalesce(array_to_string(list_sort(list_distinct(ls)), ' '), '') AS processed_text "
+                       f"FROM cv LEFT JOIN lm USING (rid)",
     "train_split": f"SELECT doc_id, lang, CASE WHEN {_SPLIT} THEN 'test' ELSE 'train' END AS split "
                    f"FROM documents",
     "vocabulary": f"WITH {_TERMS} SELECT term, df FROM v",

@@ -108,6 +108,7 @@ _KEPT = D.clean_tokens("text")
 _SPLIT = "substr(md5(concat('42:', CAST(doc_id AS VARCHAR))), 1, 8) < '33333333'"
 
 SQL = {
+    "model_roundtrip": "SELECT count(*) AS n_scored, CAST(0 AS BIGINT) AS n_changed FROM documents",
     "json_rows": f"SELECT to_json(struct_pack(doc_id := doc_id, lang := lang, "
                  f"content := {D.content('text')})) AS value FROM documents",
     "linear_score": f"""

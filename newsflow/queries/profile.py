@@ -30,20 +30,22 @@ def q_drop_nulls(spark, sf):
     return P.drop_nulls(labeled(spark, sf)).select("doc_id", "lang", "quality", "toxic")
 
 
-def _pair(spark, sf):
-    return read_table(spark, sf, "documents").select("lang", "text")
+def _repeated(spark, sf):
+    """All documents, and the German ones a second time: whole rows that repeat."""
+    docs = read_table(spark, sf, "documents").select(*V_COLS[:5])
+    return docs.unionByName(docs.where("lang = 'de'"))
 
 
 def q_dup_count(spark, sf):
-    return P.dup_count(_pair(spark, sf))
+    return P.dup_count(_repeated(spark, sf))
 
 
 def q_drop_dups(spark, sf):
-    return P.drop_dups(_pair(spark, sf))
+    return P.drop_dups(_repeated(spark, sf))
 
 
 def q_dup_recheck(spark, sf):
-    return P.dup_count(P.drop_dups(_pair(spark, sf)))
+    return P.dup_count(P.drop_dups(_repeated(spark, sf)))
 
 
 def q_column_info(spark, sf):
@@ -63,7 +65,7 @@ def q_describe_text(spark, sf):
 
 
 def q_distinct_values(spark, sf):
-    return P.distinct_values(read_table(spark, sf, "documents"), ["lang", "source"])
+    return P.distinct_values(read_table(spark, sf, "documents").select(*V_COLS[:5]))
 
 
 def q_column_kinds(spark, sf):
@@ -99,6 +101,10 @@ _V = ("(SELECT d.doc_id, d.text, d.lang, d.source, d.n_chars, l.quality, l.toxic
       "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)")
 
 
+_W = ("(SELECT doc_id, text, lang, source, n_chars FROM documents UNION ALL "
+      "SELECT doc_id, text, lang, source, n_chars FROM documents WHERE lang = 'de')")
+
+
 def _union(parts):
     return " UNION ALL ".join(parts)
 
@@ -132,11 +138,11 @@ SQL = {
     "drop_nulls": f"SELECT doc_id, lang, quality, toxic FROM {_V} WHERE "
                   + " AND ".join(f"{c} IS NOT NULL" for c in V_COLS),
     "dup_count": "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates "
-                 "FROM (SELECT count(*) AS n FROM documents GROUP BY lang, text)",
-    "drop_dups": "SELECT DISTINCT lang, text FROM documents",
+                 f"FROM (SELECT count(*) AS n FROM {_W} GROUP BY doc_id, text, lang, source, n_chars)",
+    "drop_dups": f"SELECT DISTINCT * FROM {_W}",
     "dup_recheck": "SELECT CAST(coalesce(sum(n - 1), 0) AS BIGINT) AS n_duplicates "
-                   "FROM (SELECT count(*) AS n FROM (SELECT DISTINCT lang, text FROM documents) "
-                   "GROUP BY lang, text)",
+                   f"FROM (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM {_W}) "
+                   "GROUP BY doc_id, text, lang, source, n_chars)",
     "column_info": _union(f"SELECT '{c}' AS column_name, '{V_TYPES[c]}' AS dtype, "
                           f"count({c}) AS non_null FROM {_V}" for c in V_COLS),
     "nunique": _union(f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_unique FROM {_V}"
@@ -144,11 +150,12 @@ SQL = {
     "describe": _describe_sql(),
     "describe_text": _describe_text_sql(),
     "distinct_values": _union(f"SELECT DISTINCT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value "
-                              f"FROM documents" for c in ("lang", "source")),
+                              f"FROM documents" for c in V_COLS[:5]),
     "column_kinds": _union(
         f"SELECT '{c}' AS column_name, "
         f"'{'categorical' if V_TYPES[c] == 'string' else 'numeric'}' AS kind"
         for c in V_COLS),
-    "shape": f"SELECT count(*) AS n_rows, CAST({len(V_COLS)} AS BIGINT) AS n_cols FROM {_V}",
+    "shape": f"SELECT count(*) AS n_rows, CAST({len(V_COLS)} AS BIGINT) AS n_cols, "
+             f"'{', '.join(V_COLS)}' AS columns FROM {_V}",
     "null_labels": f"SELECT 'quality' AS column_name, count(*) - count(quality) AS n_null FROM {_V}",
 }

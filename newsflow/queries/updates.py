@@ -16,6 +16,7 @@ from newsflow.sources.tables import read_table
 
 PREV_DAYS = 7
 RETENTION_DAYS = 14
+LARGE_VALUE = 200
 
 
 def _events(spark, sf):
@@ -57,9 +58,10 @@ def q_new_collections(spark, sf):
 
 
 def q_nonempty(spark, sf):
-    ev = _events(spark, sf)
+    """Of the daily collections of large events that are expected, those that hold one."""
+    ev = read_table(spark, sf, "events").select("event_type", "ts", "value")
     expected = U.expected_partitions(ev, "event_type", "ts")
-    return U.nonempty_only(expected, _counts(ev)).select("collection", _str("day"))
+    return U.nonempty_only(expected, _counts(ev.where(F.col("value") >= LARGE_VALUE))).select("collection", _str("day"))
 
 
 def q_update_log(spark, sf):
@@ -117,7 +119,8 @@ SQL = {
                 f"ex AS (SELECT t.event_type || '_' || strftime(days.day, '%Y%m%d') AS collection, days.day "
                 f"FROM (SELECT DISTINCT event_type FROM events) t CROSS JOIN days) "
                 f"SELECT collection, CAST(day AS VARCHAR) AS day FROM ex "
-                f"WHERE collection IN (SELECT collection FROM c WHERE n_rows > 0)",
+                f"WHERE collection IN (SELECT event_type || '_' || strftime(CAST(ts AS DATE), '%Y%m%d') "
+                f"FROM events WHERE value >= {LARGE_VALUE})",
     "update_log": f"WITH {_LOG} SELECT id, time, updated_collection, logged_at FROM lg",
     "drop_vanished": f"WITH {_LOG} SELECT id, time, updated_collection FROM lg WHERE updated_collection IN "
                      f"(SELECT collection FROM c WHERE first_seen > "

@@ -23,7 +23,7 @@ def test_lemmatize_tokens_regroups_distinct(spark):
     df = spark.createDataFrame([(1, "x", ["cats", "cat", "dogs"]), (2, "y", []), (3, "z", None)],
                                "doc_id int, other string, tokens array<string>")
     lem = spark.createDataFrame([("cats", "cat"), ("dogs", "dog")], "token string, lemma string")
-    out = {r.doc_id: r for r in lemmatize_tokens(df, "doc_id", lem).collect()}
+    out = {r.doc_id: r for r in lemmatize_tokens(df, lem).collect()}
     assert out[1].tokens == ["cat", "dog"] and out[1].other == "x"
     assert out[2].tokens == [] and out[2].other == "y"
     assert out[3].tokens == []
@@ -36,7 +36,25 @@ def test_lemmatize_only_suffix_tokens_same_result(spark):
     lex = spark.createDataFrame([(w,) for w in ["cat", "woman", "glass", "dog"]], "form string")
     toks = df.selectExpr("explode(tokens) AS token").distinct()
     lt = lemma_table(toks, lex)
-    a = {r.doc_id: r.tokens for r in lemmatize_tokens(df, "doc_id", lt).collect()}
-    b = {r.doc_id: r.tokens for r in lemmatize_tokens(df, "doc_id", lt, only=RULE_SUFFIX).collect()}
+    a = {r.doc_id: r.tokens for r in lemmatize_tokens(df, lt).collect()}
+    b = {r.doc_id: r.tokens for r in lemmatize_tokens(df, lt, only=RULE_SUFFIX).collect()}
     assert a == b
     assert a[1] == ["cat", "dog", "glass", "woman"] and a[2] == ["x"] and a[3] == []
+
+
+def test_repeated_and_null_keys_keep_every_row(spark):
+    df = spark.createDataFrame([(1, "a", ["cats"]), (1, "b", ["dogs", "cats"]), (None, "c", ["cats"]), (None, "d", [])],
+                               "doc_id int, text string, tokens array<string>")
+    lem = spark.createDataFrame([("cats", "cat")], "token string, lemma string")
+    out = {r.text: (r.doc_id, r.tokens) for r in lemmatize_tokens(df, lem).collect()}
+    assert out == {"a": (1, ["cat"]), "b": (1, ["cat", "dogs"]), "c": (None, ["cat"]), "d": (None, [])}
+
+
+def test_a_long_run_of_s_ends_at_the_lexicon(spark):
+    import time
+    lex = spark.createDataFrame([("as",), ("b",)], "form string")
+    tok = spark.createDataFrame([("a" + "s" * 10_000,), ("b" + "s" * 10_000,), ("c" + "s" * 10_000,)], "token string")
+    begin = time.time()
+    got = {r.token[0]: r.lemma for r in lemma_table(tok, lex).collect()}
+    assert got["a"] == "as" and got["b"] == "b" and got["c"] == "c" + "s" * 10_000
+    assert time.time() - begin < 60

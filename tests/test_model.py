@@ -110,3 +110,22 @@ def test_null_and_empty_text_score_to_a_class(spark, fitted):
     labels = set(model.pipeline.stages[-1].getLabels())
     assert set(out) == {1, 2, 3} and all(v in labels for v in out.values())
     assert out[1] == out[2] == out[3]          # all three are the zero vector
+
+
+def test_rows_with_repeated_and_null_keys_are_all_scored(spark, fitted):
+    model, _ = fitted
+    docs = documents(spark, SF0001).limit(20)
+    one = docs.withColumn("doc_id", F.when(F.col("lang") == "en", F.lit(1).cast("long")))
+    assert model.score_rows(one).count() == docs.count()
+
+
+def test_the_last_saved_version_is_loaded_without_an_older_lexicon(spark, fitted, scratch):
+    model, _ = fitted
+    model.save(f"{scratch}/m")
+    loaded = TextModel.load(spark, f"{scratch}/m")
+    assert loaded.lexicon is not None and loaded.key == "doc_id" and loaded.text_col == "text"
+    loaded.save(f"{scratch}/m")  # onto the folder it was read from
+    assert TextModel.load(spark, f"{scratch}/m").lexicon.count() == model.lexicon.count()
+    TextModel(model.pipeline, None, ["a", "b"], "body").save(f"{scratch}/m")
+    plain = TextModel.load(spark, f"{scratch}/m")
+    assert plain.lexicon is None and plain.key == ["a", "b"] and plain.text_col == "body"

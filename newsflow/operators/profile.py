@@ -144,18 +144,17 @@ def exact_quantiles_multi(df: DataFrame, columns: list[str], probs: list[float],
           .select("column_name", "prob", ((F.col("n") - 1) * F.col("prob")).alias("h"))
           .select("column_name", "prob", "h", F.floor("h").alias("k1"), F.ceil("h").alias("k2")))
 
-    def pick(k):
-        # value at 0-based rank k: lo_rank <= k < hi_rank (targets: columns x probs rows)
-        t = F.broadcast(tg.select("column_name", "prob", "h", F.col(k).alias("k")))
-        return (cum.join(t, "column_name").where((F.col("lo_rank") <= F.col("k"))
-                                                 & (F.col("k") < F.col("hi_rank")))
-                .select("column_name", "prob", "h", F.col("v").alias(k)))
-
-    a, b = pick("k1"), pick("k2").drop("h")
-    return (a.join(b, ["column_name", "prob"])
-            .select("column_name", "prob",
-                    (F.col("k1") + (F.col("h") - F.floor("h")) * (F.col("k2") - F.col("k1")))
-                    .alias("quantile")))
+    # the values at 0-based ranks k1 and k2 (the same or neighbours), in one pass over the
+    # running counts; the targets are columns x probabilities rows
+    def at(k):
+        return F.max(F.when((F.col("lo_rank") <= F.col(k)) & (F.col(k) < F.col("hi_rank")), F.col("v"))).alias(f"v_{k}")
+
+    found = (cum.join(F.broadcast(tg), "column_name")
+             .where((F.col("lo_rank") <= F.col("k2")) & (F.col("k1") < F.col("hi_rank")))
+             .groupBy("column_name", "prob", "h").agg(at("k1"), at("k2")))
+    return found.select("column_name", "prob",
+                        (F.col("v_k1") + (F.col("h") - F.floor("h")) * (F.col("v_k2") - F.col("v_k1")))
+                        .alias("quantile"))
 
 
 def exact_quantiles(df: DataFrame, column: str, probs: list[float],

@@ -32,3 +32,26 @@ def test_confusion_matrix_skewed_labels(spark):
     cm = {(r.label, r.prediction): r.n for r in confusion_matrix(
         spark.createDataFrame(rows, "label string, prediction string").repartition(8)).collect()}
     assert cm[("a", "a")] == 900 and cm[("c", "a")] == 0 and sum(cm.values()) == 1000
+
+
+def test_hot_term_is_split_in_the_final_plan(spark):
+    """Half of all rows hold one term: the executed join reads its partition in pieces."""
+    from newsflow.operators.features import tfidf
+    forced = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+              "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+              "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k",
+              "spark.sql.adaptive.coalescePartitions.enabled": "false",
+              "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k, None) for k in forced}
+    for k, v in forced.items():
+        spark.conf.set(k, v)
+    try:
+        terms = spark.range(0, 200_000, 1, 8).selectExpr(
+            "id AS doc_id", "CASE WHEN id % 2 = 0 THEN 'hot' ELSE concat('t', id % 5000) END AS term")
+        idf = terms.groupBy("term").count().selectExpr("term", "1.0D AS idf")
+        got = tfidf(terms, idf, "doc_id")
+        assert len(got.collect()) == 200_000
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

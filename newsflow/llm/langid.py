@@ -23,12 +23,21 @@ MAX_FIT_ROWS = 6000
 KEPT_WORDS = 300_000
 
 
+#: Words that are cut into subwords at once; bounds the arrays of a large vocabulary.
+PORTION = 20_000
+
+
 def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all subwords of ``words``, and how many each word has."""
+    got = [_portion(words[i:i + PORTION]) for i in range(0, max(1, len(words)), PORTION)]
+    return np.concatenate([g for g, _ in got]), np.concatenate([n for _, n in got])
+
+
+def _portion(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     buf = np.frombuffer(b"".join(b"<" + w + b">" for w in words), np.uint8).astype(np.uint64)
     lengths = np.array([len(w) + 2 for w in words], np.int64)
     if not len(buf):
-        return np.empty(0, np.int64), np.zeros(len(words), np.int64)
+        return np.empty(0, np.int32), np.zeros(len(words), np.int64)
     ends = np.repeat(np.cumsum(lengths), lengths)
     at = np.arange(len(buf))
     grams, owner = [], []
@@ -37,7 +46,7 @@ def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     for n in range(1, SIZES[-1] + 1):
         h = h[:len(buf) - n + 1] * np.uint64(0x100000001B3) + buf[n - 1:] + np.uint64(n)
         ok = at[:len(h)] + n <= ends[:len(h)]
-        grams.append((mix(h[ok]) % np.uint64(BUCKETS)).astype(np.int64))
+        grams.append((mix(h[ok]) % np.uint64(BUCKETS)).astype(np.int32))
         owner.append(which[:len(h)][ok])
     grams, owner = np.concatenate(grams), np.concatenate(owner)
     order = np.argsort(owner, kind="stable")
@@ -115,7 +124,7 @@ def fit(texts: list[str], langs: list[str], seed: int = 10, epochs: int = 12, ba
     y = np.array([labels.index(x) for x in langs])
     fitted = np.arange(len(texts)) % 5 != 0 if len(texts) >= 20 else np.ones(len(texts), bool)
     index: dict[bytes, int] = {}
-    words = [np.array([index.setdefault(w, len(index)) for w in tokens(t)], np.int64) for t in texts]
+    words = [np.array([index.setdefault(w, len(index)) for w in tokens(t)], np.int32) for t in texts]
     grams, size = subwords(list(index))
     first = np.cumsum(size) - size
     emb = rng.normal(0, 0.1, (DIM, BUCKETS))

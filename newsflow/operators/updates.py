@@ -8,7 +8,8 @@ small tables or on per-collection row counts; none lists data on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # Fixed value: the update log's time format (12-hour clock, AM/PM, ISO date).
@@ -49,16 +50,35 @@ def number_collections(registry: DataFrame, start: Column | int = 0) -> DataFram
     return registry.withColumn("id", (s + F.row_number().over(w)).cast("bigint"))
 
 
-def log_update(log: DataFrame | None, new: DataFrame) -> DataFrame:
+def log_update(log: DataFrame | None, new: DataFrame, start: int = 0) -> DataFrame:
     """Append (id, time, updated_collection, logged_at) rows for newly seen
-    collections; ``time`` is the log's text form, ``logged_at`` the timestamp."""
-    start = log.agg(F.coalesce(F.max("id"), F.lit(0))).scalar() if log is not None else 0
+    collections; ``time`` is the log's text form, ``logged_at`` the timestamp.
+    Without a log, ids follow ``start``."""
+    if log is not None:
+        start = log.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
     rows = number_collections(new, start).select(
         "id", F.date_format("first_seen", LOG_TIME_FORMAT).alias("time"),
         F.col("collection").alias("updated_collection"), F.col("first_seen").alias("logged_at"))
     return rows if log is None else log.unionByName(rows)
 
 
+def append_log(spark: SparkSession, path: str, new: DataFrame) -> DataFrame:
+    """U2 on a stored log: the collections of ``new`` that it does not list are
+    appended, with ids after its last; returns the log read back. Appending the
+    same collections again changes nothing."""
+    try:
+        log = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        log = None
+    if log is not None:
+        new = new_collections(new, log.select(F.col("updated_collection").alias("collection")))
+    start = log.agg(F.coalesce(F.max("id"), F.lit(0))).first()[0] if log is not None else 0
+    log_update(None, new, start).write.mode("append").parquet(path)
+    return spark.read.parquet(path)
+
+
 def latest_collection(log: DataFrame) -> DataFrame:
     """S3: the most recently logged collection (largest id), one row."""
     return log.agg(F.max_by("updated_collection", "id").alias("updated_collection"),

@@ -40,13 +40,14 @@ def q_stream_score(spark, sf):
 
 
 def q_retrain(spark, sf):
-    """Documents land per source; the newest collection is retrained on."""
+    """Documents land per source; the newest collection is retrained on. Its name
+    and the number of held-out rows that were scored."""
     landing, state, mdir = (staging_path(spark, n) for n in ("docs-landing", "docs-watch", "model"))
     docs = read_table(spark, sf, "documents")
     docs.withColumn("collection", F.col("source")).write.partitionBy("collection").parquet(landing)
     out = retrain_if_updated(spark, landing, docs.schema, state, mdir,
                              TrainConfig(tol=QUERY_TOL))
-    return out["accuracy"]
+    return out["accuracy"].select("collection", "n")
 
 
 QUERIES = {
@@ -58,4 +59,7 @@ QUERIES = {
 SQL = {
     "watch_collections": "SELECT event_type || '_' || strftime(CAST(ts AS DATE), '%Y%m%d') AS collection, "
                          "count(*) AS n_rows FROM events GROUP BY 1",
+    "retrain": "SELECT source AS collection, count(*) AS n FROM documents "
+               "WHERE source = (SELECT max(source) FROM documents) AND text IS NOT NULL AND lang IS NOT NULL "
+               "AND substr(md5(concat('42:', CAST(doc_id AS VARCHAR))), 1, 8) < '33333333' GROUP BY source",
 }

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsflow.operators import updates as U
-from newsflow.session import materialize
+from newsflow.session import materialize, staging_path
 from newsflow.sources.tables import read_table
 
 PREV_DAYS = 7
@@ -43,8 +43,9 @@ def _snapshots(spark, sf):
 def _log(spark, sf):
     _, counts, t_now, t_prev = _snapshots(spark, sf)
     prev = _listing(counts, t_prev)
-    log = U.log_update(None, prev)
-    return U.log_update(log, U.new_collections(_listing(counts, t_now), prev)), counts, t_now
+    path = staging_path(spark, "update-log")
+    U.append_log(spark, path, prev)
+    return U.append_log(spark, path, _listing(counts, t_now)), counts, t_now
 
 
 def _str(c):

@@ -56,6 +56,8 @@ def get_spark(master: str | None = None, cores: int | None = None,
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
+        # the local tables are single files: deal their rows to all cores
+        .config("spark.newsflow.spread", str(cores))
         .config("spark.driver.memory", os.environ.get("NEWSFLOW_DRIVER_MEMORY", "16g"))
     )
     spark = builder.getOrCreate()

@@ -18,20 +18,22 @@ def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(base, name))
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin an under-split input over the cluster's task slots.
+#: Partitions that text tables are dealt into before cleaning; unset, the scan's own splits stay.
+SPREAD_KEY = "spark.newsflow.spread"
 
-    Text cleaning costs CPU per row; a table stored as one row group scans in
-    a single task. Only inputs with fewer partitions than the default
-    parallelism are redistributed, so a large, naturally split table never
-    pays an extra shuffle.
+
+def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Deal rows into ``partitions``, or as many as the session's ``spark.newsflow.spread``.
+
+    Text cleaning costs CPU per row, and a table stored as one row group scans
+    in a single task. Only the caller or the session asks for this shuffle;
+    with neither, which is right for naturally split tables, the scan is left
+    as it is, at every size.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    partitions = partitions or int(df.sparkSession.conf.get(SPREAD_KEY, "0"))
+    return df.repartition(partitions) if partitions else df
 
 
 def documents(spark: SparkSession, base: str) -> DataFrame:
-    """The text table, spread for per-row cleaning work."""
+    """The text table, spread for per-row cleaning work if the session asks for it."""
     return spread(read_table(spark, base, "documents"))

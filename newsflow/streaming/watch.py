@@ -36,7 +36,8 @@ def watch_collections(spark: SparkSession, landing: str, schema: T.StructType, s
               .option("basePath", landing).load(landing))
 
     def record(batch: DataFrame, batch_id: int) -> None:
-        counts = batch.groupBy("collection").agg(F.count(F.lit(1)).alias("n_rows"))
+        counts = batch.groupBy("collection").agg(F.count(F.lit(1)).alias("n_rows"),
+                                                 F.current_timestamp().alias("arrived"))
         (counts.withColumn("batch_id", F.lit(batch_id).cast("long"))
          .write.mode("overwrite").parquet(f"{state}/arrivals/batch_id={batch_id}"))
 
@@ -47,14 +48,15 @@ def watch_collections(spark: SparkSession, landing: str, schema: T.StructType, s
 
 
 def arrivals(spark: SparkSession, state: str) -> DataFrame:
-    """(collection, n_rows, batch_id) for every recorded micro-batch."""
+    """(collection, n_rows, arrived, batch_id) for every recorded micro-batch."""
     return spark.read.parquet(f"{state}/arrivals")
 
 
 def registry(spark: SparkSession, state: str) -> DataFrame:
-    """(collection, first_batch, n_rows): one row per collection seen so far."""
+    """(collection, first_batch, first_seen, n_rows): one row per collection seen so far."""
     return arrivals(spark, state).groupBy("collection").agg(
-        F.min("batch_id").alias("first_batch"), F.sum("n_rows").cast("bigint").alias("n_rows"))
+        F.min("batch_id").alias("first_batch"), F.min("arrived").alias("first_seen"),
+        F.sum("n_rows").cast("bigint").alias("n_rows"))
 
 
 def new_in_last_batch(spark: SparkSession, state: str) -> DataFrame:
@@ -64,8 +66,8 @@ def new_in_last_batch(spark: SparkSession, state: str) -> DataFrame:
 
 
 def update_log(spark: SparkSession, state: str) -> DataFrame:
-    """(id, first_batch, updated_collection) in arrival order."""
-    reg = registry(spark, state).withColumnRenamed("first_batch", "first_seen")
-    return U.number_collections(reg).select(
-        "id", F.col("first_seen").alias("first_batch"),
-        F.col("collection").alias("updated_collection"))
+    """(id, time, updated_collection, logged_at, first_batch) in arrival order,
+    collections of one batch by name."""
+    reg = registry(spark, state)
+    log = U.log_update(None, reg)
+    return log.join(reg.select(F.col("collection").alias("updated_collection"), "first_batch"), "updated_collection")

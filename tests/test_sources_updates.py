@@ -53,3 +53,30 @@ def test_registry_log_operators(spark):
     assert (latest.updated_collection, latest.id) == ("c2", 3)
     kept = U.drop_vanished(log, listing.where(F.col("collection") != "c3"))
     assert sorted(r.updated_collection for r in kept.collect()) == ["c1", "c2"]
+
+
+def test_append_log_keeps_ids_and_is_idempotent(spark, scratch):
+    path = f"{scratch}/log"
+
+    def seen(*names):
+        return spark.createDataFrame([(n, f"2024-01-0{i + 1} 10:00:00") for i, n in enumerate(names)],
+                                     "collection string, t string").select(
+            "collection", F.to_timestamp("t").alias("first_seen"))
+
+    U.append_log(spark, path, seen("b", "a"))
+    U.append_log(spark, path, seen("b", "a", "c"))
+    log = U.append_log(spark, path, seen("b", "a", "c"))
+    assert [(r.id, r.updated_collection) for r in log.orderBy("id").collect()] == [(1, "b"), (2, "a"), (3, "c")]
+
+
+def test_spread_only_when_asked(spark):
+    from newsflow.sources.tables import SPREAD_KEY, spread
+    rows = spark.range(0, 100, 1, 3)
+    assert spread(rows).rdd.getNumPartitions() == 3
+    assert "Exchange" in spread(rows, 5)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set(SPREAD_KEY, "2")
+    try:
+        # also fewer than the scan has: the setting, not the size, decides
+        assert "Exchange" in spread(rows)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(SPREAD_KEY)

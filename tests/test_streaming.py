@@ -24,6 +24,9 @@ def test_watcher_two_polls(spark, scratch):
     assert reg == {"c1": 10, "c2": 3, "c3": 4}
     log = update_log(spark, state).orderBy("id").collect()
     assert [r.updated_collection for r in log] == ["c1", "c2", "c3"]
+    # the two of the first batch arrived at one time, the third later
+    assert log[0].logged_at == log[1].logged_at < log[2].logged_at
+    assert [r.first_batch for r in log] == [0, 0, 1] and all(r.time for r in log)
 
 
 def test_watcher_continuous_trigger(spark, scratch):

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from newsflow.functions import text as T
 from newsflow.operators import metrics as M
 from newsflow.operators.clean import clean_text
-from newsflow.operators.features import is_test
+from newsflow.operators.features import is_test, train_test_split
 from newsflow.operators.lemma import RULE_SUFFIX, changed_lemmas, lemmatize_tokens, with_row_ids
 from newsflow.session import materialize
 
@@ -54,8 +54,8 @@ class TrainConfig:
     tol: float = 1e-6
     reg_param: float | None = None     # None -> 1 / n_train
     lemmas: bool = True
-    # Bound on the labelled rows a model is fitted and tested on, taken by a hash of
-    # the key before cleaning; it bounds the vocabulary that the driver holds and the
+    # Bound on the labelled training rows a model is fitted on, taken by a hash of key
+    # and text after the split and before cleaning (all held-out rows are scored); it bounds the vocabulary that the driver holds and the
     # dense classes x terms matrix of the solver. None: all rows.
     max_fit_rows: int | None = 100_000
 
@@ -150,20 +150,29 @@ def bounded(df: DataFrame, cfg: TrainConfig) -> DataFrame:
 
 
 def prepared(df: DataFrame, cfg: TrainConfig):
-    """Cleaned, lemmatized, split-flagged frame (checkpointed) and the lexicon."""
-    prep = with_row_ids(prepare(bounded(df, cfg), cfg))  # regex cleaning runs once
+    """Cleaned, lemmatized, split-flagged training rows (checkpointed) and the lexicon.
+
+    The split comes first: ``max_fit_rows`` bounds the training side only, and
+    held-out rows are not read here.
+    """
+    trn, _ = train_test_split(df, cfg.key, cfg.seed, cfg.test_fraction)
+    prep = with_row_ids(prepare(bounded(trn, cfg), cfg))  # regex cleaning runs once
     lexicon = None
     if cfg.lemmas:
-        # one pass: every distinct token, flagged when a training document has it
-        seen = materialize(prep.select(F.explode("tokens").alias("token"), "is_test")
-                           .groupBy("token").agg(F.min(F.col("is_test").cast("int")).alias("_t")))
-        lexicon = seen.where(F.col("_t") == 0).select(F.col("token").alias("form"))
-        changes = changed_lemmas(seen.select("token"), lexicon)
-        prep = lemmatize_tokens(prep, changes, only=RULE_SUFFIX)
+        seen = materialize(prep.select(F.explode("tokens").alias("token")).distinct())
+        lexicon = seen.select(F.col("token").alias("form"))
+        prep = lemmatize_tokens(prep, changed_lemmas(seen, lexicon), only=RULE_SUFFIX)
     prep = materialize(prep.withColumn("terms", T.terms("tokens")))
     return prep, lexicon
 
 
+def held_out(df: DataFrame, cfg: TrainConfig) -> DataFrame:
+    """(key, text, label) of every labelled row of the test split, however many there are."""
+    _, tst = train_test_split(df, cfg.key, cfg.seed, cfg.test_fraction)
+    return (tst.where(F.col(cfg.text_col).isNotNull() & F.col(cfg.label_col).isNotNull())
+            .select(cfg.key, cfg.text_col, cfg.label_col))
+
+
 def fit_features(trn: DataFrame, cfg: TrainConfig):
     """Vectorizer, idf+1 scaling, normaliser and label indexer fitted on ``trn``.
 
@@ -199,14 +208,12 @@ def classifier(cfg: TrainConfig, n_train: int) -> LogisticRegression:
 def train(df: DataFrame, cfg: TrainConfig | None = None):
     """Clean -> split -> fit features on train -> fit classifier -> evaluate.
 
-    Returns (TextModel, predictions on the test split). The cleaned, lemmatized
-    frame is checkpointed once (cuts lineage; every fit below re-reads it) and
+    Returns (TextModel, predictions on the whole test split). The cleaned, lemmatized
+    training frame is checkpointed once (cuts lineage; every fit below re-reads it) and
     the training features are cached for the iterative optimizer.
     """
     cfg = cfg or TrainConfig()
-    prep, lexicon = prepared(df, cfg)
-    trn = prep.where(~F.col("is_test"))
-    tst = prep.where(F.col("is_test"))
+    trn, lexicon = prepared(df, cfg)
     stages = fit_features(trn, cfg)
     feats = feature_frame(trn, stages).persist()
     n_train = feats.count()
@@ -216,8 +223,8 @@ def train(df: DataFrame, cfg: TrainConfig | None = None):
     to_label = IndexToString(inputCol="prediction", outputCol=PRED, labels=indexer.labels)
     pipe = PipelineModel(stages=[cv, scale, norm, lr_model, to_label])
     model = TextModel(pipe, lexicon, cfg.key, cfg.text_col)
-    preds = pipe.transform(tst).select(cfg.key, F.col(cfg.label_col).alias("label"),
-                                       F.col(PRED).alias("prediction"))
+    preds = model.transform(held_out(df, cfg)).select(
+        cfg.key, F.col(cfg.label_col).alias("label"), F.col(PRED).alias("prediction"))
     return model, preds
 
 

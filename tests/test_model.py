@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF0001
-from newsflow.plans.model import (TextModel, TrainConfig, bounded, classifier, feature_frame,
+from newsflow.operators.features import is_test
+from newsflow.plans.model import (TextModel, TrainConfig, bounded, classifier, evaluate, feature_frame,
                                   fit_features, prepared, train)
 from newsflow.sources.tables import documents, read_table
 
@@ -98,6 +99,18 @@ def test_fit_rows_are_bounded_by_labelled_rows(spark):
         r.doc_id for r in bounded(docs.repartition(3), TrainConfig(max_fit_rows=50)).collect()}
 
 
+def test_bound_on_fit_rows_leaves_the_test_split_whole(spark):
+    docs = documents(spark, SF0001)
+    docs = docs.union(docs.limit(3).withColumn("text", F.lit(None).cast("string")))
+    whole = docs.where(is_test("doc_id") & F.col("text").isNotNull() & F.col("lang").isNotNull())
+    cfg = TrainConfig(max_fit_rows=60, max_iter=5)
+    model, preds = train(docs, cfg)
+    assert sorted(r.doc_id for r in preds.collect()) == sorted(r.doc_id for r in whole.collect())
+    assert evaluate(preds)["accuracy"].first()["n"] == whole.count()
+    trn, _ = prepared(docs, cfg)
+    assert 20 <= trn.count() <= 110 and trn.where("is_test").isEmpty()
+
+
 def test_fit_ends_before_the_iteration_limit(spark):
     model, _ = train(documents(spark, SF0001), TrainConfig(tol=1e-4))
     assert model.pipeline.stages[3].summary.totalIterations < 1000

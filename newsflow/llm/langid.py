@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import arrow_map, crc32_of, utf8
+from newsflow.llm.common import arrow_map, crc32_of, sampled, utf8
 from newsflow.llm.shingles import mix
 
 BUCKETS, DIM, SIZES = 1 << 16, 16, (1, 2, 3, 4, 5)
@@ -175,14 +175,14 @@ def fit(texts: list[str], langs: list[str], seed: int = 10, epochs: int = 12, ba
 def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
           max_fit_rows: int = MAX_FIT_ROWS, folds: int = 5) -> Model | None:
     """Fit on at most ``max_fit_rows`` labelled texts outside fold 0, chosen by a
-    hash of the key; None without labelled texts."""
+    hash of the key; None without labelled texts. Equal rows of a key count once,
+    and each key has a text in the sample before one has two."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (crc32_of(F.col(key)) % folds != 0))
     rank = F.xxhash64(F.lit("fit"), F.col(key))
-    share = max_fit_rows / max(1, known.select(key).count())
+    share = max_fit_rows / max(1, known.select(rank).distinct().count())
     if share < 0.9:  # a little over the bound, then cut to it
         known = known.where(F.pmod(rank, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.2 * share)))
-    rows = (known.select(rank.alias("r"), F.col(text).alias("t"), F.col(lang).alias("l"))
-            .orderBy("r", "t", "l").limit(max_fit_rows).collect())
+    rows = sampled(known.select(rank.alias("r"), F.col(text).alias("t"), F.col(lang).alias("l")), max_fit_rows)
     return fit([r["t"] for r in rows], [r["l"] for r in rows]) if rows else None
 
 

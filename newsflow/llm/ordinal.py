@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from newsflow.llm.common import arrow_map, letters_lower, utf8
+from newsflow.llm.common import arrow_map, letters_lower, sampled, utf8
 
 #: Rated texts that the model is fitted on, the least by a hash of the key; a documented bound.
 MAX_FIT_ROWS = 12_000
@@ -195,7 +195,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     ``labels`` has the key, quality (0 or 1) and toxic (0 or 1). Of several
     ratings of a key the worst counts; a null quality is no rating, a null
-    toxic means 0. None if fewer than two grades are present.
+    toxic means 0. Rows of a key with the same features count once, and each key
+    has a text in the sample before one has two. None if fewer than two grades are present.
     """
     rated = (labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull())
              .groupBy(F.col(key).alias("k")).agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic"))
@@ -212,8 +213,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         for t, g, r in rows:
             yield r, g, features(t).astype("<u4").tobytes()
 
-    got = (arrow_map(found.select("t", "grade", "r"), hashed, "r long, grade int, ids binary", flush=64)
-           .orderBy("r", "ids").limit(max_fit_rows).collect())
+    got = sampled(arrow_map(found.select("t", "grade", "r"), hashed, "r long, grade int, ids binary", flush=64),
+                  max_fit_rows)
     return fit([np.frombuffer(x["ids"], "<u4").astype(np.int64) for x in got], [x["grade"] for x in got])
 
 

@@ -231,6 +231,26 @@ def test_ordinal_grades_and_licences_and_language(spark):
     assert found[902].families == "mit" and found[1].families == "" and found[900].n_paragraphs == 0
 
 
+def test_a_repeated_key_pushes_no_other_out_of_the_fit(spark, monkeypatch):
+    rows = [(i, f"text of number {i} " + "ab " * i, "de" if i % 2 else "en") for i in range(40)]
+    ids = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    least = ids.where("crc32(cast(cast(doc_id as string) as binary)) % 5 != 0").orderBy(
+        F.xxhash64(F.lit("fit"), "doc_id")).first()
+    hot = [(least.doc_id, least.text, least.lang)] * 90 + [(least.doc_id, f"other text {j}", least.lang) for j in range(60)]
+    docs = spark.createDataFrame(rows + hot, ids.schema).repartition(4)
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    got = {}
+    monkeypatch.setattr(ordinal, "fit", lambda sets, grades: got.update(sets=[s.tobytes() for s in sets], grades=grades))
+    monkeypatch.setattr(langid, "fit", lambda texts, langs: got.update(texts=texts, langs=langs))
+    for bound in (40, 60):
+        ordinal.train(docs, labels, max_fit_rows=bound)
+        assert len(got["sets"]) == len(set(got["sets"])) == bound
+        assert {ordinal.features(t).tobytes() for i, t, _ in rows if i != least.doc_id} <= set(got["sets"]) and len(set(got["grades"])) == 2
+        langid.train(docs, max_fit_rows=bound)
+        assert len(got["texts"]) == len(set(got["texts"])) == bound
+        assert {t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5 and i != least.doc_id} <= set(got["texts"]) and len(set(got["langs"])) == 2
+
+
 def test_empty_tables(spark, empty, scratch):
     import public_tokenizers
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -251,6 +251,26 @@ def test_a_repeated_key_pushes_no_other_out_of_the_fit(spark, monkeypatch):
         assert {t for i, t, _ in rows if zlib.crc32(str(i).encode()) % 5 and i != least.doc_id} <= set(got["texts"]) and len(set(got["langs"])) == 2
 
 
+def test_wrapped_notices_titles_and_other_licences(spark):
+    cases = [("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public "
+              "License as published by\nthe Free Software Foundation, either version 3", "gpl"),
+             ("Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that", "bsd"),
+             ("Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated", "mit"),
+             ("The MIT License (MIT)", "mit"), ("Distributed under the MIT License.", "mit"), ("Apache License, Version 2.0", "apache"),
+             ("SPDX-License-Identifier: Apache-2.0", "apache"), ("Licensed under CC BY 4.0", "cc-by"),
+             ("SPDX-License-Identifier: MIT\n\nLicensed under the GNU Affero General Public License", "agpl,mit"),
+             ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+             ("Licensed under CC BY-ND 4.0", "unknown"), ("Licensed under CC BY-NC-SA 4.0", "unknown"),
+             ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License", "unknown"),
+             ("SPDX-License-Identifier: Zlib", "unknown"), ("plain text\nof two lines on public permits", "")]
+    rnd = random.Random(5)
+    rows = [(i, _words(rnd, 50) + "\n\n" + t) for i, (t, _) in enumerate(cases)] + [(100 + i, _words(rnd, 70)) for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in licences.scan(docs, licences.train(docs)).collect()}
+    assert [(t, got[i].families) for i, (t, _) in enumerate(cases)] == cases
+    assert got[8].n_paragraphs == 3 and got[8].paragraphs == 2 and all(got[100 + i].families == "" for i in range(50))
+
+
 def test_empty_tables(spark, empty, scratch):
     import public_tokenizers
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")

@@ -48,10 +48,9 @@ def _col(c) -> Column:
 
 # --- T1-T3 ------------------------------------------------------------------
 def sentence_trim(c) -> Column:
-    """Split on '.', strip U+0020 around every piece, re-join with '.'.
+    """No blanks (U+0020, no others) around a full stop or at either end.
 
-    Equal to ``'.'.join(s.strip(' ') for s in text.split('.'))`` and expressed
-    as one regex pass plus a trim (both strip only U+0020).
+    One regex pass for the stops and a trim for the ends.
     """
     return F.trim(F.regexp_replace(_col(c), r" *\. *", "."))
 

@@ -13,6 +13,10 @@ token; only tokens that change are joined back to their rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401 (pa.compute)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -164,3 +168,62 @@ def lemmatize_tokens(df: DataFrame, lemmas: DataFrame, tokens: str = "tokens", o
     merged = F.array_sort(F.array_distinct(F.when(F.col("_map").isNull(), toks).otherwise(new)))
     return (df.join(changes, ROW_ID, "left").withColumn(tokens, merged)
             .select(*[c for c in names if c != ROW_ID]))
+
+
+#: A lexicon of at most so many forms and characters may be held by every worker.
+LOOKUP_FORMS, LOOKUP_CHARS = 1_000_000, 16_000_000
+
+
+def lemma_of(word: str, known, longest: int) -> str:
+    """The lemma of one word, as in ``lemma_table``, with the set ``known`` as the lexicon,
+    whose forms have at most ``longest`` characters."""
+    form = word
+    if len(word) > longest and word.endswith("ss"):
+        # one rule fits and takes an s at a time: go to the first form that may be known
+        run = len(word) - len(word.rstrip("s"))
+        form = word[:len(word) - min(run - 1, len(word) - longest)]
+    front, own = [form], [form]
+    while front:
+        front = [w[:-len(old)] + new for w in front for old, new in NOUN_RULES if w.endswith(old)]
+        hits = [w for w in own + front if w in known]
+        if hits:
+            return min(hits, key=len)
+        own = []
+    return word
+
+
+def lemma_lookup(lexicon: DataFrame) -> Callable[[Column], Column] | None:
+    """A function that gives the lemmas of an array column of tokens, or None for a lexicon
+    over ``LOOKUP_FORMS`` or ``LOOKUP_CHARS``, which takes the joins of ``lemma_table``.
+
+    ``lexicon``: distinct forms in its first column. They are read once and
+    broadcast; each Arrow batch looks every distinct token up once.
+    """
+    form = F.col(lexicon.columns[0])
+    size = lexicon.agg(F.count(form).alias("n"), F.coalesce(F.sum(F.length(form)), F.lit(0)).alias("chars")).first()
+    if size["n"] > LOOKUP_FORMS or size["chars"] > LOOKUP_CHARS:
+        return None
+    forms = frozenset(r[0] for r in lexicon.where(form.isNotNull()).collect())
+    known = lexicon.sparkSession.sparkContext.broadcast((forms, max(map(len, forms), default=0)))
+
+    @F.arrow_udf("array<string>")
+    def lemmas(tokens: pa.Array) -> pa.Array:
+        flat = tokens.flatten().dictionary_encode()
+        table = pa.array([lemma_of(t, *known.value) for t in flat.dictionary.to_pylist()], pa.string())
+        ends = pa.compute.cumulative_sum(pa.compute.list_value_length(tokens)) if len(tokens) else pa.array([], pa.int32())
+        offsets = pa.concat_arrays([pa.array([0], pa.int32()), ends.cast(pa.int32())])
+        return pa.ListArray.from_arrays(offsets, table.take(flat.indices))
+
+    return lemmas
+
+
+def look_up_lemmas(df: DataFrame, lookup: Callable[[Column], Column], tokens: str = "tokens",
+                   only: str | None = RULE_SUFFIX) -> DataFrame:
+    """``lemmatize_tokens`` as a projection, for batch and streaming frames: distinct sorted
+    lemmas in place of ``tokens``. Just the tokens that can change are looked up."""
+    own = F.coalesce(F.col(tokens), F.array().cast("array<string>"))
+    sent = F.array_distinct(F.filter(own, lambda t: t.rlike(only)) if only else own)
+    return (df.withColumn(tokens, own).withColumn("_sent", sent).withColumn("_lemmas", lookup(F.col("_sent")))
+            .withColumn("_map", F.map_from_arrays("_sent", "_lemmas"))
+            .withColumn(tokens, F.array_sort(F.array_distinct(F.transform(tokens, lambda t: F.coalesce(F.col("_map")[t], t)))))
+            .drop("_sent", "_lemmas", "_map"))

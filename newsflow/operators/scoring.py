@@ -1,8 +1,9 @@
 """Long-form linear scoring (C3) and per-group top-k.
 
-``linear_scores``: a linear model applied as a sparse dot product in SQL form,
-features (key, term, x) joined to weights (class, term, w), summed per
-(key, class). A key with no known term keeps the default class.
+A linear model applied as a sparse dot product: features (key, term, x) are
+joined to one row a term, which holds an array of a weight a class, and summed
+into one number a class and key. A key with no known term keeps the default
+class. The number of classes is that of the label table.
 """
 
 from __future__ import annotations
@@ -13,32 +14,43 @@ from pyspark.sql import functions as F
 from newsflow.session import materialize
 
 
-def class_centroids(weights: DataFrame, labels: DataFrame, key: str, label: str) -> DataFrame:
-    """(label, term, w): mean feature weight per class over the labelled keys."""
-    n_cls = labels.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    sums = (weights.join(labels.select(key, label), key)
-            .groupBy(label, "term").agg(F.sum("weight").alias("_s")))
-    return sums.join(F.broadcast(n_cls), label).select(label, "term", (F.col("_s") / F.col("_nc")).alias("w"))
+def class_centroids(weights: DataFrame, label: str, classes: list, counts: list[int]) -> DataFrame:
+    """(term, w): the mean weight of a term in each of ``classes``, over ``counts`` keys a class.
 
+    ``weights``: (key, label, term, weight); a term's row holds a number a class."""
+    return weights.groupBy("term").agg(F.array(*[
+        F.coalesce(F.sum(F.when(F.col(label) == c, F.col("weight"))), F.lit(0.0)) / F.lit(float(n))
+        for c, n in zip(classes, counts)]).alias("w"))
 
-def linear_scores(features: DataFrame, model: DataFrame, key: str, label: str) -> DataFrame:
-    """(key, label, score) = sum over shared terms of x * w (sparse dot product).
 
-    The weights of a term, one a class, travel as one row; they are staged, so
-    that the join can split a hot term's rows."""
-    per_term = materialize(model.groupBy("term").agg(F.collect_list(F.struct(label, "w")).alias("_w")))
-    return (features.join(per_term, "term").select(key, "weight", F.inline("_w"))
-            .groupBy(key, label).agg(F.sum(F.col("weight") * F.col("w")).alias("score")))
+def vector_scores(features: DataFrame, per_term: DataFrame, key: str, k: int, weight: str = "weight",
+                  unit: bool = False) -> DataFrame:
+    """(key, scores): for each of ``k`` classes the sum over shared terms of ``weight`` * w.
 
+    ``per_term``: (term, w array). One row a document and term goes to the sums,
+    which are combined before the shuffle. With ``unit`` the document's weights
+    count as if scaled to length 1. ``per_term`` is staged, so that the join can
+    split a hot term's rows."""
+    x = F.col(weight)
+    sums = [F.sum(x * F.get("w", F.lit(i))).alias(f"_s{i}") for i in range(k)]
+    got = features.join(materialize(per_term), "term").groupBy(key).agg(*sums, F.sqrt(F.sum(x * x)).alias("_n"))
+    by = F.col("_n") if unit else F.lit(1.0)
+    return got.select(key, F.array(*[F.col(f"_s{i}") / by for i in range(k)]).alias("scores"))
 
-def argmax_class(scores: DataFrame, keys: DataFrame, key: str, label: str,
-                 default: Column) -> DataFrame:
-    """(key, prediction): best-scoring class, ties to the smallest class name;
-    keys without any score get ``default``."""
-    best = scores.groupBy(key).agg(
-        F.min_by(label, F.struct(-F.col("score"), F.col(label))).alias("prediction"))
-    return keys.select(key).join(best, key, "left").select(
-        key, F.coalesce("prediction", default).alias("prediction"))
+
+def best_class(scores: DataFrame, keys: DataFrame, key: str, classes: list, intercepts: list[float] | None = None,
+               default: Column | None = None) -> DataFrame:
+    """(key, prediction) for every row of ``keys``: the class of the largest score, the
+    first of ``classes`` on ties. Keys without a score get ``default``, or the
+    class that the intercepts alone give."""
+    free = intercepts or [0.0] * len(classes)
+    named = F.array(*[F.lit(c) for c in classes])
+    total = F.array(*[F.get("scores", F.lit(i)) + F.lit(float(b)) for i, b in enumerate(free)])
+    best = scores.select(key, F.element_at(named, F.array_position(total, F.array_max(total)).cast("int"))
+                         .alias("prediction"))
+    if default is None:
+        default = F.lit(classes[free.index(max(free))])
+    return keys.select(key).join(best, key, "left").select(key, F.coalesce("prediction", default).alias("prediction"))
 
 
 def top_k_per_group(df: DataFrame, group: str, order: list[Column], k: int,

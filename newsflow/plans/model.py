@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
@@ -29,8 +29,9 @@ from pyspark.sql import functions as F
 from newsflow.functions import text as T
 from newsflow.operators import metrics as M
 from newsflow.operators.clean import clean_text
-from newsflow.operators.features import is_test, train_test_split
-from newsflow.operators.lemma import RULE_SUFFIX, changed_lemmas, lemmatize_tokens, with_row_ids
+from newsflow.operators.features import exact_split, is_test, train_test_split
+from newsflow.operators.lemma import (RULE_SUFFIX, changed_lemmas, lemma_lookup, lemmatize_tokens, look_up_lemmas,
+                                      with_row_ids)
 from newsflow.session import materialize
 
 
@@ -58,6 +59,8 @@ class TrainConfig:
     # and text after the split and before cleaning (all held-out rows are scored); it bounds the vocabulary that the driver holds and the
     # dense classes x terms matrix of the solver. None: all rows.
     max_fit_rows: int | None = 100_000
+    # M1: hold out exactly ceil(test_fraction * n) rows, not the keys of a share of all hashes.
+    exact_split: bool = False
 
 
 @dataclass
@@ -66,18 +69,34 @@ class TextModel:
     lexicon: DataFrame | None          # (form) table for lemmas, None = no lemmas
     key: str | list = "doc_id"
     text_col: str = "text"
+    _lookup: list = field(default_factory=list, repr=False, compare=False)
 
     # ---------------------------------------------------------- scoring
+    def lookup(self):
+        """The lexicon as a function of a token column, read once; None without a
+        lexicon, or for one that is too large for the workers to hold."""
+        if self.lexicon is not None and not self._lookup:
+            self._lookup.append(lemma_lookup(self.lexicon))
+        return self._lookup[0] if self._lookup else None
+
+    @property
+    def streams(self) -> bool:
+        """Whether scoring is one projection, as a stream needs it."""
+        return self.lexicon is None or self.lookup() is not None
+
     def features_input(self, df: DataFrame) -> DataFrame:
         """Clean (and lemmatize) ``df`` into (key, ..., content, tokens, terms).
 
-        The raw text is dropped after cleaning. With lemmas, the cleaned frame
-        is read twice (distinct tokens, then the per-token join), so it is
-        staged once instead of re-running the regex work. One row out per row
-        in, also where the key repeats or is null.
+        The raw text is dropped after cleaning. Lemmas are looked up in the
+        model's lexicon, in the same projection. Only with a lexicon that no
+        worker should hold is the cleaned frame staged and joined to it. One
+        row out per row in, also where the key repeats or is null.
         """
         c = clean_text(df, self.text_col, processed_col=None).drop(self.text_col)
-        if self.lexicon is not None:
+        lookup = self.lookup()
+        if lookup is not None:
+            c = look_up_lemmas(c, lookup)
+        elif self.lexicon is not None:
             c = with_row_ids(c)
             toks = c.select(F.explode("tokens").alias("token")).distinct()
             c = lemmatize_tokens(c, changed_lemmas(toks, self.lexicon), only=RULE_SUFFIX)
@@ -105,7 +124,7 @@ class TextModel:
 
     def with_input(self, key, text_col: str = "text") -> "TextModel":
         """The same fitted model reading another table's key and text columns."""
-        return TextModel(self.pipeline, self.lexicon, key, text_col)
+        return TextModel(self.pipeline, self.lexicon, key, text_col, self._lookup)
 
     # ---------------------------------------------------------- persistence
     def save(self, path: str) -> None:
@@ -133,8 +152,27 @@ def prepare(df: DataFrame, cfg: TrainConfig) -> DataFrame:
     base = df.where(F.col(cfg.text_col).isNotNull() & F.col(cfg.label_col).isNotNull())
     c = clean_text(base.select(cfg.key, cfg.text_col, cfg.label_col), cfg.text_col,
                    processed_col=None)
-    return c.select(cfg.key, cfg.label_col, "tokens",
-                    is_test(cfg.key, cfg.seed, cfg.test_fraction).alias("is_test"))
+    side = F.lit(False) if cfg.exact_split else is_test(cfg.key, cfg.seed, cfg.test_fraction)
+    return c.select(cfg.key, cfg.label_col, "tokens", side.alias("is_test"))
+
+
+def sides(df: DataFrame, cfg: TrainConfig):
+    """M1: (train, test) rows of ``df``."""
+    how = exact_split if cfg.exact_split else train_test_split
+    return how(df, cfg.key, cfg.seed, cfg.test_fraction)
+
+
+def usable(df: DataFrame, cfg: TrainConfig) -> DataFrame:
+    """(n_rows, n_corrupt, n_no_text, n_no_label, n_used): what training drops, and why.
+
+    A row counts for the first reason that holds; corrupt rows are those that
+    the reader put aside in ``_corrupt_record``."""
+    corrupt = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in df.columns else F.lit(False)
+    no_text, no_label = F.col(cfg.text_col).isNull(), F.col(cfg.label_col).isNull()
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(corrupt).alias("n_corrupt"),
+                  F.count_if(~corrupt & no_text).alias("n_no_text"),
+                  F.count_if(~corrupt & ~no_text & no_label).alias("n_no_label"),
+                  F.count_if(~corrupt & ~no_text & ~no_label).alias("n_used"))
 
 
 def bounded(df: DataFrame, cfg: TrainConfig) -> DataFrame:
@@ -155,7 +193,7 @@ def prepared(df: DataFrame, cfg: TrainConfig):
     The split comes first: ``max_fit_rows`` bounds the training side only, and
     held-out rows are not read here.
     """
-    trn, _ = train_test_split(df, cfg.key, cfg.seed, cfg.test_fraction)
+    trn, _ = sides(df, cfg)
     prep = with_row_ids(prepare(bounded(trn, cfg), cfg))  # regex cleaning runs once
     lexicon = None
     if cfg.lemmas:
@@ -168,7 +206,7 @@ def prepared(df: DataFrame, cfg: TrainConfig):
 
 def held_out(df: DataFrame, cfg: TrainConfig) -> DataFrame:
     """(key, text, label) of every labelled row of the test split, however many there are."""
-    _, tst = train_test_split(df, cfg.key, cfg.seed, cfg.test_fraction)
+    _, tst = sides(df, cfg)
     return (tst.where(F.col(cfg.text_col).isNotNull() & F.col(cfg.label_col).isNotNull())
             .select(cfg.key, cfg.text_col, cfg.label_col))
 
@@ -240,8 +278,13 @@ def texts_frame(spark, texts: list[str], key: str = "doc_id", text_col: str = "t
     return spark.createDataFrame(list(enumerate(texts)), f"{key} long, {text_col} string")
 
 
+def predict_rows(model: TextModel, df: DataFrame, key: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """C1's output for every row: (key, Content, Predicted_category). One projection: no
+    shuffle, no staged table, and nothing is read but the rows."""
+    return model.with_input(key, text_col).score_rows(df).withColumnRenamed("Predicted Category", "Predicted_category")
+
+
 def predict_text(spark, model: TextModel, text: str) -> dict:
     """One text -> {"Content": cleaned content, "Predicted_category": label}."""
-    m = model.with_input("doc_id", "text")
-    row = m.score_rows(texts_frame(spark, [text])).first()
-    return {"Content": row["Content"], "Predicted_category": row["Predicted Category"]}
+    row = predict_rows(model, texts_frame(spark, [text])).first()
+    return {"Content": row["Content"], "Predicted_category": row["Predicted_category"]}

@@ -9,24 +9,26 @@ or None when nothing new arrived.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.operators import updates as U
 from newsflow.plans.model import TrainConfig, evaluate, train
-from newsflow.streaming.watch import update_log, watch_collections
+from newsflow.sources.tables import read_or_none
+from newsflow.streaming.watch import last_batch, update_log, watch_collections
 
 
 def retrain_if_updated(spark: SparkSession, landing: str, schema: T.StructType, state: str,
                        model_dir: str, cfg: TrainConfig | None = None,
                        fmt: str = "parquet") -> dict[str, DataFrame] | None:
     watch_collections(spark, landing, schema, state, fmt=fmt).awaitTermination()
-    if _recorded(spark, f"{state}/arrivals") is None:
+    if last_batch(spark, state) is None:
         return None
     latest = U.latest_collection(update_log(spark, state)).first()["updated_collection"]
-    done = _recorded(spark, f"{state}/trained")
+    if latest is None:   # nothing but empty files
+        return None
+    done = read_or_none(spark, f"{state}/trained", "collection string")
     if done is not None and not done.where(F.col("collection") == latest).isEmpty():
         return None
     data = (spark.read.format(fmt).schema(schema).load(f"{landing}/collection={latest}"))
@@ -37,12 +39,3 @@ def retrain_if_updated(spark: SparkSession, landing: str, schema: T.StructType,
     return {k: v.select(F.lit(latest).alias("collection"), "*")
             for k, v in evaluate(preds).items()}
 
-
-def _recorded(spark: SparkSession, path: str) -> DataFrame | None:
-    """A state table, or None if it has not been written yet."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None

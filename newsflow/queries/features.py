@@ -67,6 +67,28 @@ def q_vocabulary(spark, sf):
     return FT.vocabulary(FT.doc_terms(tr, KEY), KEY)
 
 
+def q_vocabulary_index(spark, sf):
+    """M2: the numbers of the training vocabulary's terms, as a table."""
+    tr = _train(spark, sf)
+    return FT.vocabulary_index(FT.vocabulary(FT.doc_terms(tr, KEY), KEY)).select("term", "df", "idx")
+
+
+def q_tfidf_unseen(spark, sf):
+    """M5: weights of held-out documents; terms that training has not seen count nothing."""
+    docs = cleaned_once(spark, sf)
+    flag = FT.is_test(KEY)
+    idf = FT.idf_from_docs(docs.where(~flag), KEY)
+    return FT.tfidf(FT.doc_terms(docs.where(flag), KEY), idf, KEY).select(
+        KEY, "term", F.round("weight", 6).alias("weight"))
+
+
+def q_train_split_exact(spark, sf):
+    """M1: exactly a fifth of the rows, rounded up, in the order of the keys' hashes."""
+    docs = read_table(spark, sf, "documents").select(KEY, "lang")
+    trn, tst = FT.exact_split(docs, KEY)
+    return trn.withColumn("split", F.lit("train")).union(tst.withColumn("split", F.lit("test")))
+
+
 def q_idf(spark, sf):
     return FT.idf_from_docs(_train(spark, sf), KEY).select(
         "term", "df", F.round("idf", 6).alias("idf"))
@@ -90,6 +112,9 @@ QUERIES = {
     "train_split": q_train_split,
     "vocabulary": q_vocabulary,
     "idf": q_idf,
+    "vocabulary_index": q_vocabulary_index,
+    "tfidf_unseen": q_tfidf_unseen,
+    "train_split_exact": q_train_split_exact,
     "tfidf_l2": q_tfidf_l2,
     "label_index": q_label_index,
 }
@@ -148,6 +173,13 @@ SQL = {
     "train_split": f"SELECT doc_id, lang, CASE WHEN {_SPLIT} THEN 'test' ELSE 'train' END AS split "
                    f"FROM documents",
     "vocabulary": f"WITH {_TERMS} SELECT term, df FROM v",
+    "vocabulary_index": f"WITH {_TERMS} SELECT term, df, row_number() OVER (ORDER BY df DESC, term) - 1 AS idx FROM v",
+    "tfidf_unseen": f"WITH {_TERMS}, te AS (SELECT DISTINCT doc_id, term FROM (SELECT doc_id, unnest(t) AS term FROM d "
+                    f"WHERE {_SPLIT}) WHERE length(term) >= 2) SELECT te.doc_id, te.term, "
+                    f"round(i.idf / sqrt(sum(i.idf * i.idf) OVER (PARTITION BY te.doc_id)), 6) AS weight "
+                    f"FROM te JOIN i ON te.term = i.term",
+    "train_split_exact": "SELECT doc_id, lang, CASE WHEN row_number() OVER (ORDER BY md5('42:' || doc_id)) "
+                         "<= ceil(0.2 * count(*) OVER ()) THEN 'test' ELSE 'train' END AS split FROM documents",
     "idf": f"WITH {_TERMS} SELECT term, df, round(idf, 6) AS idf FROM i",
     "tfidf_l2": f"WITH {_TERMS} SELECT dt.doc_id, dt.term, "
                 f"round(i.idf / sqrt(sum(i.idf * i.idf) OVER (PARTITION BY dt.doc_id)), 6) AS weight "

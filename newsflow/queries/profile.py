@@ -19,7 +19,7 @@ TEXT_COLS = ("lang", "source", "text")
 def labeled(spark, sf):
     docs = read_table(spark, sf, "documents")
     labels = read_table(spark, sf, "labels")
-    return docs.join(labels, "doc_id", "left").select(*V_COLS)
+    return docs.join(labels, "doc_id", "left").select(*V_COLS)   # unused columns are pruned before the join
 
 
 def q_null_counts(spark, sf):

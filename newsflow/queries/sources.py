@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsflow.operators import features as FT
-from newsflow.plans.model import TrainConfig, train
+from newsflow.plans.model import TrainConfig, train, usable
 from newsflow.queries import duck as D
 from newsflow.queries.features import cleaned
+from newsflow.queries.model import known_class
 from newsflow.session import staging_path
 from newsflow.sources import news as N
 from newsflow.sources.tables import documents, read_table
@@ -21,25 +22,42 @@ def q_json_roundtrip(spark, sf):
     return spark.read.schema(schema).json(path)
 
 
-def q_read_news(spark, sf):
-    """S1 + J1/J2: documents laid out as news rows, read with the news schema,
-    unused columns dropped."""
+def _news(spark, sf):
+    """Documents written as news rows in JSON lines, and read with the news schema."""
     path = staging_path(spark, "news")
     docs = read_table(spark, sf, "documents")
     docs.select(F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("link"),
                 F.col("source").alias("headline"), F.col("lang").alias("category"),
-                F.col("text").alias("short_description")).write.mode("overwrite").json(path)
-    news = N.read_news(spark, path)
-    return news.drop(*N.UNUSED_NEWS_COLUMNS, "_corrupt_record").select(
+                F.col("text").alias("short_description"), F.col("n_chars").cast("string").alias("authors"),
+                F.date_add(F.lit("2020-01-01").cast("date"), F.pmod("doc_id", F.lit(1000)).cast("int")).alias("date")
+                ).write.mode("overwrite").json(path)
+    return N.read_news(spark, path)
+
+
+def q_read_news(spark, sf):
+    """S1 + J1/J2: documents laid out as news rows, read with the news schema,
+    unused columns dropped."""
+    return _news(spark, sf).drop(*N.UNUSED_NEWS_COLUMNS, "_corrupt_record").select(
         "category", "short_description")
 
 
+def q_read_news_columns(spark, sf):
+    """All six columns, the date as a date."""
+    return _news(spark, sf).where("_corrupt_record IS NULL").drop("_corrupt_record")
+
+
+def q_training_input(spark, sf):
+    """Rows that training takes and drops, of documents joined to their ratings as labels;
+    texts of every seventh key are missing."""
+    docs = read_table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 7 != 0, F.col("text")).alias("text"))
+    rows = docs.join(read_table(spark, sf, "labels").select("doc_id", "quality"), "doc_id", "left")
+    return usable(rows, TrainConfig(label_col="quality"))
+
+
 def lexicon_words(spark, sf):
     """(category, word): all words of each language."""
-    terms = FT.doc_terms(cleaned(spark, sf), "doc_id").join(
-        read_table(spark, sf, "documents").select("doc_id", F.col("lang").alias("category")), "doc_id")
-    cdf = terms.groupBy("category", F.col("term").alias("word")).agg(F.count(F.lit(1)).alias("df"))
-    return cdf.select("category", "word")
+    terms = FT.doc_terms(cleaned(spark, sf), "doc_id", keep=["lang"])
+    return terms.select(F.col("lang").alias("category"), F.col("term").alias("word")).distinct()
 
 
 def _written_lexicon(spark, sf):
@@ -51,7 +69,7 @@ def _written_lexicon(spark, sf):
 def q_lexicon_write(spark, sf):
     """The CSV as written, read back raw."""
     _, path = _written_lexicon(spark, sf)
-    return spark.read.schema(N.LEXICON_SCHEMA).option("header", True).csv(path)
+    return spark.read.schema(N.LEXICON_SCHEMA).option("header", True).option("escape", '"').csv(path)
 
 
 def q_lexicon_explode(spark, sf):
@@ -68,13 +86,15 @@ def q_lexicon_train(spark, sf):
                       F.col("category").alias("label"))
     model, _ = train(rows, TrainConfig(key="category", label_col="label", test_fraction=0.0,
                                        tol=1e-4))
-    return model.with_input("doc_id").score_rows(documents(spark, sf)).select(
-        "doc_id", "Predicted Category")
+    rows = model.with_input("doc_id").score_rows(documents(spark, sf))
+    return rows.select("doc_id", known_class(F.col("Predicted Category"), model))
 
 
 QUERIES = {
     "json_roundtrip": q_json_roundtrip,
     "read_news": q_read_news,
+    "read_news_columns": q_read_news_columns,
+    "training_input": q_training_input,
     "lexicon_write": q_lexicon_write,
     "lexicon_explode": q_lexicon_explode,
     "lexicon_train": q_lexicon_train,
@@ -84,14 +104,24 @@ _KEPT = D.clean_tokens("text")
 _TOP = (f"d AS (SELECT doc_id, lang, list_distinct({_KEPT}) AS t FROM documents), "
         f"dt AS (SELECT DISTINCT doc_id, lang, term FROM (SELECT doc_id, lang, unnest(t) AS term FROM d) "
         f"WHERE length(term) >= 2), "
-        f"cdf AS (SELECT lang AS category, term AS word, count(*) AS df FROM dt GROUP BY 1, 2), "
-        f"top AS (SELECT category, word FROM cdf)")
+        f"top AS (SELECT DISTINCT lang AS category, term AS word FROM dt), "
+        f"sl AS (SELECT category, word, (row_number() OVER (PARTITION BY category ORDER BY word) - 1) // {N.SLICE_WORDS} "
+        f"AS slice FROM top)")
 
 SQL = {
     "json_roundtrip": "SELECT CAST(doc_id AS VARCHAR) AS _id, doc_id, text, lang, source, n_chars "
                       "FROM documents",
     "read_news": "SELECT lang AS category, text AS short_description FROM documents",
     "lexicon_write": f"WITH {_TOP} SELECT category, string_agg(word, ',' ORDER BY word) AS unique_words "
-                     f"FROM top GROUP BY category",
+                     f"FROM sl GROUP BY category, slice",
+    "lexicon_train": "SELECT doc_id, TRUE AS known_class FROM documents",
+    "read_news_columns": "SELECT 'doc/' || doc_id AS link, source AS headline, lang AS category, "
+                         "text AS short_description, CAST(n_chars AS VARCHAR) AS authors, "
+                         "DATE '2020-01-01' + CAST(doc_id % 1000 AS INT) AS date FROM documents",
+    "training_input": "SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_corrupt, "
+                      "count(*) FILTER (text IS NULL OR doc_id % 7 = 0) AS n_no_text, "
+                      "count(*) FILTER (text IS NOT NULL AND doc_id % 7 <> 0 AND quality IS NULL) AS n_no_label, "
+                      "count(*) FILTER (text IS NOT NULL AND doc_id % 7 <> 0 AND quality IS NOT NULL) AS n_used "
+                      "FROM documents LEFT JOIN labels USING (doc_id)",
     "lexicon_explode": f"WITH {_TOP} SELECT category, word FROM top",
 }

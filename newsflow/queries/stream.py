@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 from newsflow.operators import updates as U
 from newsflow.plans.model import TrainConfig
 from newsflow.plans.retrain import retrain_if_updated
-from newsflow.queries.model import QUERY_TOL, trained
+from newsflow.queries.model import _ITEMS, QUERY_TOL, known_class, trained
 from newsflow.session import staging_path
 from newsflow.sources.tables import read_table
 from newsflow.streaming.score import score_stream, scored
-from newsflow.streaming.watch import registry, watch_collections
+from newsflow.streaming.watch import compact, registry, watch_collections
 
 
 def q_watch_collections(spark, sf):
@@ -26,6 +26,7 @@ def q_watch_collections(spark, sf):
     (ev.withColumn("collection", U.partition_name(F.col("event_type"), F.to_date("ts")))
      .write.partitionBy("collection").parquet(landing))
     watch_collections(spark, landing, ev.schema, state).awaitTermination()
+    compact(spark, state)
     return registry(spark, state).select("collection", "n_rows")
 
 
@@ -36,7 +37,7 @@ def q_stream_score(spark, sf):
     bench.write.parquet(src)
     model = trained(spark, sf)[0].with_input("item_id")
     score_stream(spark, model, src, bench.schema, out, ck).awaitTermination()
-    return scored(spark, out).select("item_id", "Content", "Predicted Category")
+    return scored(spark, out).select("item_id", "Content", known_class(F.col("Predicted Category"), model))
 
 
 def q_retrain(spark, sf):
@@ -57,6 +58,7 @@ QUERIES = {
 }
 
 SQL = {
+    "stream_score": _ITEMS,
     "watch_collections": "SELECT event_type || '_' || strftime(CAST(ts AS DATE), '%Y%m%d') AS collection, "
                          "count(*) AS n_rows FROM events GROUP BY 1",
     "retrain": "SELECT source AS collection, count(*) AS n FROM documents "

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -37,3 +40,23 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
 def documents(spark: SparkSession, base: str) -> DataFrame:
     """The text table, spread for per-row cleaning work if the session asks for it."""
     return spread(read_table(spark, base, "documents"))
+
+
+def read_or_none(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """A stored table, or None if it has not been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def delete_folders(spark: SparkSession, path: str, chosen: Callable[[str], bool]) -> None:
+    """Delete the folders below ``path`` whose names are ``chosen``, in any store Spark writes to."""
+    top = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(top):
+        for found in fs.listStatus(top):
+            if found.isDirectory() and chosen(found.getPath().getName()):
+                fs.delete(found.getPath(), True)

@@ -25,6 +25,7 @@ the number of ids before each part.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -32,6 +33,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -43,11 +46,17 @@ MAGIC = b"NFBP"
 END_MARK = "\nNFBPEND\n"
 HEADER = struct.Struct("<4sHHIIIQQQIQ")
 BLOCK_IDS = 1 << 16
-SHARD_IDS = 1 << 20
-#: Words longer than this are encoded every time; the others' ids are kept.
+#: Ids of a shard, which a task has in memory: about 70 MB as a file.
+SHARD_IDS = 1 << 25
+#: Pieces longer than this are encoded every time; the others' ids are kept.
 KEPT_WORD = 48
-#: Entries of each generation of the tables of kept words.
-KEPT_WORDS = 300_000
+#: Pieces, and ids of them, that are kept.
+KEPT_WORDS, KEPT_IDS = 500_000, 1 << 22
+#: A letter up to U+024F (but U+0130, whose lower case ends in a mark) and an ASCII mark that is in no
+#: contraction or special token's string: the tokenizer parts them, so that a blank between changes no id.
+MARK_BEHIND_LETTER = r"([a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}])([!-&(-/:;=?@\[-`{}~])"
+#: Bytes of text that are cut into pieces at once.
+RUN_BYTES = 8 << 20
 
 
 def to_planes(ids: np.ndarray, bits: bool) -> list[bytes]:
@@ -141,71 +150,125 @@ class Shard:
             at = stop
 
 
-class _Kept:
-    """A table in two generations: at its size limit the younger one becomes the
-    older, and entries that are met again move back."""
-
-    def __init__(self):
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def missing(self, words: set[str]) -> list[str]:
-        """Those of ``words`` in neither generation; the others are now in the younger."""
-        if len(self.young) > KEPT_WORDS:
-            self.old, self.young = self.young, {}
-        new = words.difference(self.young)
-        if self.old:
-            back = new & self.old.keys()
-            self.young.update((w, self.old[w]) for w in back)
-            new -= back
-        return list(new)
+def splits_at_blanks(spec: dict) -> bool:
+    """Whether a tokenizers file encodes a text as its pieces between blanks, one after the
+    other, and letters as their lower case: read off its normalizer and pre-tokenizer."""
+    norm, pre = spec.get("normalizer") or {}, spec.get("pre_tokenizer") or {}
+    steps = [(n["type"], n.get("pattern", {}).get("Regex"), n.get("content")) for n in norm.get("normalizers", [])]
+    cuts = pre.get("pretokenizers", [])
+    return (steps == [("NFC", None, None), ("Replace", "\\s+", " "), ("Lowercase", None, None)]
+            and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+            and cuts[0]["behavior"] == "Removed" and cuts[0]["invert"]
+            and "|[\\p{L}]+|" in cuts[0]["pattern"].get("Regex", "")
+            and "[^\\s" in cuts[0]["pattern"]["Regex"] and not cuts[1]["add_prefix_space"]
+            and not cuts[1]["use_regex"] and spec["model"].get("end_of_word_suffix") == "</w>")
 
 
 class _Words:
-    """Ids, as bytes, of texts.
-
-    The tokenizer drops white space, lower-cases, and always splits between a
-    letter and a mark such as a comma. So a text's ids are those of its pieces
-    between blanks and line ends one after the other, and the ids of letters
-    with marks behind them are those of the lower-cased letters and of the
-    marks. Other pieces are encoded as they stand.
+    """Ids of texts.
+
+    Where the tokenizer drops white space, lower-cases, and always splits
+    between a letter and a mark such as a comma, a text's ids are those of its
+    pieces between blanks and line ends one after the other, a mark behind a
+    letter begins another piece, and letters have the ids of their lower
+    case. Other pieces are encoded as they stand. Ids of pieces are kept
+    in one array (``flat``, with ``start`` and ``length`` by the piece's
+    number), out of which the ids of a batch of texts are gathered. With any
+    other tokenizer whole texts are encoded.
     """
 
-    MARKS = ",.;:!?"
+    #: Words that are encoded in one call: the ends of words part their ids.
+    JOINED = 500
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.pieces, self.parts = _Kept(), _Kept()
+        with open(path, encoding="utf-8") as f:
+            self.by_pieces = splits_at_blanks(json.load(f))
+        vocabulary = self.tokenizer.get_vocab()
+        self.is_end = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.is_end[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self._keep([], [])
+
+    def _keep(self, words: list[str], ids: list[bytes]) -> None:
+        """Start over with the ids of ``words`` alone."""
+        self.number: dict[str, int] = {}
+        self.count = 0
+        self.flat, self.used = np.empty(1 << 16, "<u4"), 0
+        self.start, self.length = np.empty(1 << 12, np.int64), np.empty(1 << 12, np.int64)
+        self._add(words, ids)
+
+    def _add(self, words: list[str], ids: list[bytes]) -> None:
+        n = self.count
+        new = np.frombuffer(b"".join(ids), "<u4")
+        while self.used + len(new) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.empty_like(self.flat)])
+        while n + len(words) > len(self.start):
+            self.start = np.concatenate([self.start, np.empty_like(self.start)])
+            self.length = np.concatenate([self.length, np.empty_like(self.length)])
+        self.flat[self.used:self.used + len(new)] = new
+        size = np.array([len(x) // 4 for x in ids], np.int64)
+        self.length[n:n + len(words)] = size
+        self.start[n:n + len(words)] = self.used + np.cumsum(size) - size
+        self.used += len(new)
+        self.count += len(words)
+        self.number.update(zip(words, range(n, n + len(words))))
 
     def _encode(self, words: list[str]) -> list[bytes]:
         got = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in got]
 
-    def _split(self, piece: str) -> tuple[str, str]:
-        letters = piece.rstrip(self.MARKS)
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-case words of letters, many a call."""
+        chunks = [words[i:i + self.JOINED] for i in range(0, len(words), self.JOINED)]
+        out: list[bytes] = []
+        for chunk, e in zip(chunks, self.tokenizer.encode_batch_fast([" ".join(c) for c in chunks],
+                                                                     add_special_tokens=False)):
+            ids = np.array(e.ids, "<u4")
+            ends = (np.flatnonzero(self.is_end[ids]) + 1) * 4
+            raw = ids.tobytes()
+            if len(ends) == len(chunk) and (not len(ends) or ends[-1] == len(raw)):
+                out += [raw[a:b] for a, b in zip([0, *ends.tolist()], ends.tolist())]
+            else:
+                out += self._encode(chunk)
+        return out
+
+    def _learn(self, new: list[str]) -> None:
         # up to U+024F, without U+0130, lower case is one letter in every library
-        if letters.isalpha() and (letters.isascii() or (max(letters) < "\u0250" and "\u0130" not in letters)):
-            return letters.lower(), piece[len(letters):]
-        return piece, ""
-
-    def ids(self, text: str) -> bytes:
-        pieces = text.replace("\n", " ").split(" ")
-        new = self.pieces.missing(set(pieces))
-        table = self.pieces.young
+        letters = [w.isalpha() and (w.isascii() or (max(w) < "\u0250" and "\u0130" not in w)) for w in new]
+        simple = [w for w, x in zip(new, letters) if x]
+        self._add(simple, self._encode_letters([w.lower() for w in simple]))
+        others = [w for w, x in zip(new, letters) if not x]
+        self._add(others, self._encode(others))
+
+    def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all ``texts`` (no nulls) one after the other, and the number of each's."""
+        if not self.by_pieces:
+            got = self._encode(texts.to_pylist())
+            return np.frombuffer(b"".join(got), "<u4"), np.array([len(x) // 4 for x in got], np.int64)
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)   # a special token's string must not come about by it
+        texts = pc.replace_substring_regex(pc.replace_substring(texts, "\n", " "), MARK_BEHIND_LETTER, r"\1 \2")
+        lists = pc.split_pattern(texts, " ")
+        coded = lists.flatten().dictionary_encode()
+        words = coded.dictionary.to_pylist()
+        if self.count > KEPT_WORDS or self.used > KEPT_IDS:
+            kept = [w for w in words if w in self.number]
+            at = [self.number[w] for w in kept]
+            self._keep(kept, [self.flat[a:a + n].tobytes() for a, n in zip(self.start[at], self.length[at])])
+        new = [w for w in words if w not in self.number]
         if new:
-            split = {w: self._split(w) for w in new}
-            parts = self.parts.missing({x for two in split.values() for x in two})
-            known = self.parts.young
-            known.update(zip(parts, self._encode(parts)))
-            table.update((w, known[a] + known[b]) for w, (a, b) in split.items())
-        out = b"".join(map(table.__getitem__, pieces))
+            self._learn(new)
+        places = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))[coded.indices.to_numpy()]
+        size = self.length[places]
+        upto = np.cumsum(size)
+        total = int(upto[-1]) if len(upto) else 0
+        out = self.flat[np.repeat(self.start[places] - upto + size, size) + np.arange(total)]
         for w in new:
             if len(w) > KEPT_WORD:
-                del table[w]
-                for x in split[w]:
-                    known.pop(x, None)
-        return out
+                del self.number[w]
+        ends = np.concatenate([[0], upto])[pc.cumulative_sum(pc.list_value_length(lists)).to_numpy()]
+        return out, np.diff(ends, prepend=0)
 
 
 @lru_cache(maxsize=1)
@@ -220,8 +283,7 @@ def encode_to_files(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_
                     block_ids: int = BLOCK_IDS, shard_ids: int = SHARD_IDS) -> None:
     """Write the token ids of ``docs`` under ``path``.
 
-    ``tokenizer`` is the path of a tokenizers file that drops white space, as
-    present on every executor. Null texts count as empty and give the end id
+    ``tokenizer`` is the path of a tokenizers file, as present on every executor. Null texts count as empty and give the end id
     alone; null keys come first; repeated rows are written once each; other
     columns are ignored; an empty table gives no shard. Documents are dealt by
     ranges of (key, hash of the text), so many rows of one key still spread.
@@ -230,30 +292,48 @@ def encode_to_files(docs: DataFrame, path: str, tokenizer: str, key: str = "doc_
                .repartitionByRange("key", F.xxhash64("text")).sortWithinPartitions("key", "text"))
     end = struct.pack("<I", end_id)
 
-    def encode(rows):
+    def encode(batches):
         words, part = _words(tokenizer), TaskContext.get().partitionId()
         shard = before = held = 0
         keys, lengths, data = [], [], []
-        for k, t in rows:
-            if t:
-                ids = words.ids(t) + end
-            else:
-                ids = end
-            keys.append(k)
-            lengths.append(len(ids) // 4)
-            data.append(ids)
-            held += lengths[-1]
-            if held >= shard_ids:
-                yield (pack_shard(part, shard, before, keys, lengths, b"".join(data), block_ids, bits),)
-                shard, before, held = shard + 1, before + held, 0
-                keys, lengths, data = [], [], []
+
+        def packed():
+            return pa.record_batch([pa.array([pack_shard(part, shard, before, keys, lengths, b"".join(data),
+                                                         block_ids, bits)], pa.binary())], ["file"])
+
+        for batch in batches:
+            every, texts = batch.column(0).to_pylist(), pc.fill_null(batch.column(1), "")
+            for low, high in _runs(pc.binary_length(texts).to_numpy()):
+                ids, counts = words.ids(texts.slice(low, high - low))
+                at = 0
+                for k, n in zip(every[low:high], counts.tolist()):
+                    keys.append(k)
+                    lengths.append(n + 1)
+                    data += (ids[at:at + n].tobytes(), end)
+                    at, held = at + n, held + n + 1
+                    if held >= shard_ids:
+                        yield packed()
+                        shard, before, held = shard + 1, before + held, 0
+                        keys, lengths, data = [], [], []
         if keys:
-            yield (pack_shard(part, shard, before, keys, lengths, b"".join(data), block_ids, bits),)
+            yield packed()
 
-    (arrow_map(ordered, encode, "file binary", flush=1).select(F.col("file").cast("string"))
+    (ordered.mapInArrow(encode, "file binary").select(F.col("file").cast("string"))
      .write.option("maxRecordsPerFile", 1).option("lineSep", END_MARK).text(f"{path}/shards"))
 
 
+def _runs(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``RUN_BYTES`` together; a longer one goes alone."""
+    low = held = 0
+    for i, n in enumerate(sizes.tolist()):
+        if held and held + n > RUN_BYTES:
+            yield low, i
+            low, held = i, 0
+        held += n
+    if low < len(sizes):
+        yield low, len(sizes)
+
+
 def read_files(spark: SparkSession, path: str, with_ids: bool = False) -> DataFrame:
     """One row per document of the files under ``path``: key, start (ids of all
     documents before it), n_tokens, ids_crc32, part, shard, and ids on request.

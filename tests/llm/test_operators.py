@@ -282,3 +282,36 @@ def test_empty_tables(spark, empty, scratch):
               triecount.token_counts(empty, public_tokenizers.path("piece_bpe_32k.model")),
               licences.scan(empty, licences.train(empty))]
     assert [f.count() for f in frames] == [0] * len(frames)
+
+
+def test_another_tokenizer_encodes_whole_texts():
+    import json
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+    spec = json.load(open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8"))
+    assert bitplane.splits_at_blanks(spec)
+    spec["normalizer"]["normalizers"].pop()   # keeps upper case
+    assert not bitplane.splits_at_blanks(spec)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    words, tok = bitplane._Words(path), Tokenizer.from_file(path)
+    texts = ["Two  blanks, THEN\nmore", "", "x" * 200]
+    ids, counts = words.ids(pa.array(texts))
+    assert not words.by_pieces and ids.tolist() == [i for t in texts for i in tok.encode(t, add_special_tokens=False).ids]
+    assert counts.sum() == len(ids)
+
+
+def test_kept_pieces_are_bounded(monkeypatch):
+    import pyarrow as pa
+    import public_tokenizers
+    monkeypatch.setattr(bitplane, "KEPT_WORDS", 50)
+    monkeypatch.setattr(bitplane, "KEPT_IDS", 400)
+    words = bitplane._Words(public_tokenizers.path("word_bpe_49k.json"))
+    rnd = random.Random(8)
+    for _ in range(12):
+        texts = [" ".join("".join(rnd.choices("abcDEé,.'!7", k=rnd.randrange(9))) for _ in range(30)), "q" * 100_000, "İ% ŉ. x_y"]
+        ids, counts = words.ids(pa.array(texts))
+        at = np.concatenate([[0], np.cumsum(counts)])
+        for t, a, b in zip(texts, at, at[1:]):
+            assert ids[a:b].tolist() == words.tokenizer.encode(t, add_special_tokens=False).ids
+        assert max(map(len, words.number)) <= bitplane.KEPT_WORD and words.count < 400

@@ -21,10 +21,16 @@ BUCKETS, DIM, SIZES = 1 << 16, 16, (1, 2, 3, 4, 5)
 #: Labelled texts that the model is fitted on, the least by a hash of the key; a documented bound.
 MAX_FIT_ROWS = 6000
 KEPT_WORDS = 300_000
+#: Bytes of a word whose sums are kept, at most.
+KEPT_WORD = 64
+#: Characters of a text that the fit takes: all, or as many in even pieces from all over it.
+MAX_FIT_CHARS, FIT_PIECE = 8000, 500
 
 
 #: Words that are cut into subwords at once; bounds the arrays of a large vocabulary.
 PORTION = 20_000
+#: The same for long words.
+LONG_WORDS = 500
 
 
 def subwords(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -92,6 +98,9 @@ class Model:
             out = np.empty((len(texts), len(self.labels)))
             for k, text in enumerate(texts):
                 words = tokens(text)
+                long = [w for w in words if len(w) > KEPT_WORD]
+                if long:
+                    words = [w for w in words if len(w) <= KEPT_WORD]
                 if len(kept) > KEPT_WORDS:
                     kept.clear()
                 new = list(set(words).difference(kept))
@@ -105,6 +114,9 @@ class Model:
                     sums[at:at + len(new), -1] = n
                     kept.update(zip(new, range(at, at + len(new))))
                 total = sums[list(map(kept.__getitem__, words))].sum(axis=0) if words else np.zeros(sums.shape[1])
+                for at in range(0, len(long), LONG_WORDS):
+                    grams, n = subwords(long[at:at + LONG_WORDS])
+                    total = total + np.append(self.table[grams].sum(axis=0), n.sum())
                 out[k] = total[:-1] / max(1.0, total[-1]) + self.bias
             return out
 
@@ -176,13 +188,20 @@ def train(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str =
           max_fit_rows: int = MAX_FIT_ROWS, folds: int = 5) -> Model | None:
     """Fit on at most ``max_fit_rows`` labelled texts outside fold 0, chosen by a
     hash of the key; None without labelled texts. Equal rows of a key count once,
-    and each key has a text in the sample before one has two."""
+    and each key has a text in the sample before one has two. Of a text over
+    ``MAX_FIT_CHARS`` the fit sees pieces from all over it, so that the driver
+    holds at most ``max_fit_rows`` times as many characters."""
     known = docs.where(F.col(lang).isNotNull() & F.col(text).isNotNull() & (crc32_of(F.col(key)) % folds != 0))
     rank = F.xxhash64(F.lit("fit"), F.col(key))
     share = max_fit_rows / max(1, known.select(rank).distinct().count())
     if share < 0.9:  # a little over the bound, then cut to it
         known = known.where(F.pmod(rank, F.lit(1 << 30)) < int((1 << 30) * min(1.0, 1.2 * share)))
-    rows = sampled(known.select(rank.alias("r"), F.col(text).alias("t"), F.col(lang).alias("l")), max_fit_rows)
+    t, pieces = F.col(text), MAX_FIT_CHARS // FIT_PIECE
+    step = (F.length(t) / pieces).cast("int")
+    spread = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(pieces - 1)),
+                                      lambda i: F.substring(t, i * step + 1, F.lit(FIT_PIECE))), " ")
+    t = F.when(F.length(t) > MAX_FIT_CHARS, spread).otherwise(t)
+    rows = sampled(known.select(rank.alias("r"), t.alias("t"), F.col(lang).alias("l")), max_fit_rows)
     return fit([r["t"] for r in rows], [r["l"] for r in rows]) if rows else None
 
 

@@ -29,6 +29,8 @@ LEAST_TEXTS = 4
 #: And if their grades differ so much from those of all texts (chi-square).
 LEAST_CHI = 25.0
 KEPT_WORDS = 500_000
+#: Bytes of a word that is kept, at most.
+KEPT_WORD = 64
 
 _PART = bytes(c if 48 <= c <= 57 or 97 <= c <= 122 or c >= 128 else 32 for c in letters_lower)
 #: Classes of bytes: 1 capitals, 2 digits, 3 marks of sentences, 4 other marks, 5 line ends.
@@ -84,15 +86,20 @@ class Model:
         return self.__dict__ | {"_kept": None}
 
     def score(self, text: str | None) -> float:
-        """The weights of all the text's features; those of words met before are kept."""
+        """The weights of all the text's features; those of short words met before are kept."""
         raw = utf8(text)
         words = raw.translate(_PART).split()
         if self._kept is None or len(self._kept) > KEPT_WORDS:
             self._kept = {}
         kept, mine = self._kept, set(words)
-        kept.update((w, self.weights.get(_hash(w), 0.0)) for w in mine.difference(kept))
-        return (sum(map(kept.__getitem__, mine))
-                + sum(self.weights.get(_hash(s), 0.0) for s in statistics(raw, words)))
+        new = mine.difference(kept)
+        kept.update((w, self.weights.get(_hash(w), 0.0)) for w in new)
+        score = (sum(map(kept.__getitem__, mine))
+                 + sum(self.weights.get(_hash(s), 0.0) for s in statistics(raw, words)))
+        for w in new:
+            if len(w) > KEPT_WORD:
+                del kept[w]
+        return score
 
     def grades(self, score: float) -> tuple[float, float]:
         """(expected grade, probability of the best grade)."""

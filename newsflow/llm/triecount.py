@@ -14,7 +14,7 @@ without a piece is spelled in byte pieces.
 
 from __future__ import annotations
 
-from itertools import islice
+from collections.abc import Iterator
 from math import log
 
 from pyspark.sql import DataFrame
@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 from newsflow.llm.common import arrow_map
 
 BEGIN = "▁"
-#: Rows whose words share one trie, and words whose counts a worker keeps.
-ROWS, KEPT_WORDS = 512, 500_000
+#: Rows and characters of texts whose words share one trie; a longer text goes alone.
+ROWS, CHARS = 512, 1 << 21
+#: Words whose counts a worker keeps, and their length at most.
+KEPT_WORDS, KEPT_WORD = 500_000, 48
 
 
 class Pieces:
@@ -87,19 +89,34 @@ def split(text: str | None) -> list[str]:
     return [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").split()] if text else []
 
 
+def groups(rows: Iterator[tuple]) -> Iterator[list[tuple]]:
+    """Neighbouring (key, text) rows, bounded in number and in characters."""
+    held, size = [], 0
+    for k, t in rows:
+        n = len(t or "")
+        if held and (len(held) >= ROWS or size + n > CHARS):
+            yield held
+            held, size = [], 0
+        held.append((k, t))
+        size += n
+    if held:
+        yield held
+
+
 def token_counts(docs: DataFrame, pieces: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_words, n_tokens), one row per row of ``docs``.
 
     ``pieces`` is the path of a piece file as present on every executor. Null,
     empty and blank texts have no words and no tokens. Null and repeated keys
     keep one row each; other columns are not read. Nothing is shuffled, and a
-    worker keeps a bounded number of words.
+    worker keeps a bounded number of short words.
     """
     kind = dict(docs.select(F.col(key).alias("k")).dtypes)["k"]
 
     def count(rows):
         vocabulary, kept = Pieces.from_file(pieces), {}
-        while group := [(k, split(t)) for k, t in islice(rows, ROWS)]:
+        for group in groups(rows):
+            group = [(k, split(t)) for k, t in group]
             new = {w for _, words in group for w in set(words).difference(kept)}
             if len(kept) + len(new) > KEPT_WORDS:
                 kept = {}
@@ -107,6 +124,9 @@ def token_counts(docs: DataFrame, pieces: str, key: str = "doc_id", text: str =
             kept.update(vocabulary.counts(new))
             for k, words in group:
                 yield k, len(words), sum(map(kept.__getitem__, words))
+            for w in new:
+                if len(w) > KEPT_WORD:
+                    del kept[w]
 
     return arrow_map(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")), count,
                      f"doc_id {kind}, n_words long, n_tokens long")

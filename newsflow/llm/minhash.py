@@ -96,7 +96,7 @@ def _link(sets: list[np.ndarray], side: np.ndarray, cross: bool, threshold: int)
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: int = 75,
                     shingle_words: int = 5, chunk: int = CHUNK, seed: int = 1, row_id: bool = False) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept), one row per row of ``docs``;
-    on request also rid, a hash of key and text.
+    on request also rid, a hash of key and text, and the classes of the text and its component.
 
     Two texts are linked when 100 times their common shingles is at least
     ``threshold`` times all their shingles; component_id is the smallest key
@@ -167,12 +167,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", th
     # staged, so that the join below may split a root of very many texts
     roots = stage(linked.join(least, "cls").groupBy("root").agg(F.min("least").alias("component")), "roots")
     labels = stage(least.join(linked.join(roots, "root"), "cls", "left")
-                   .select("cls", F.coalesce("component", "least").alias("component")), "labels")
+                   .select("cls", F.coalesce("component", "least").alias("component"),
+                           F.coalesce("root", "cls").alias("root")), "labels")
     unstage(hubs, clusters, sizes, members, linked, roots)
     got = signed.select("doc_id", "cls", "n", "rid").join(labels, "cls", "left")
     component = F.when(F.col("cls").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return got.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"), *(["rid", "cls"] if row_id else []))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), *(["rid", "cls", "root"] if row_id else []))
 
 
 def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
@@ -180,11 +181,11 @@ def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", **how)
     smallest key, of several the one with the smallest hash of its text. Texts
     without words stay, repeated rows of them once."""
     found = near_duplicates(docs, key, text, row_id=True, **how).where("kept")
-    # texts without words stand for themselves
-    own = F.coalesce(F.hex("cls"), F.col("rid").cast("string"))
-    found = found.withColumn("own", F.when(F.col("cls").isNull(), own).otherwise(
-        F.coalesce(F.col("component_id").cast("string"), own)))
-    stay = stage(found.groupBy("own", F.col("cls").isNull()).agg(F.min("rid").alias("rid")).select("rid").distinct(), "stay")
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("k"),
-                       F.xxhash64(F.col(key).cast("long"), F.col(text)).alias("rid"))
-    return rows.join(stay, "rid", "left_semi").dropDuplicates(["rid", "k"]).select("row.*")
+    # texts without words stand for themselves; two components may have one smallest key
+    own = F.coalesce(F.hex("root"), F.col("rid").cast("string"))
+    stay = found.groupBy(own, F.col("cls").isNull()).agg(F.min("rid").alias("rid"), F.first("doc_id").alias("of"))
+    stay = stage(stay.select("rid", "of").distinct(), "stay")
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).cast("long").alias("k"),
+                       F.xxhash64(F.col(key).cast("long"), F.col(text)).alias("own"))
+    mine = (F.col("own") == F.col("rid")) & F.col("k").eqNullSafe(F.col("of"))
+    return rows.join(stay, mine, "left_semi").dropDuplicates(["own", "k"]).select("row.*")

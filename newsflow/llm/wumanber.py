@@ -164,8 +164,13 @@ def _pass(docs: DataFrame, text: str, block: list, first: bool) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
-    """The rows of ``docs`` in which no window of an item occurs, columns unchanged."""
-    return find_passages(docs, items, **how).where("wm_n_hit = 0").select(*docs.columns)
+    """The rows of ``docs`` in which no window of an item occurs, columns unchanged, also
+    those whose names the search uses itself. Null and empty texts stay; each of
+    repeated rows is judged alike."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    of = docs.columns.index(how.pop("text", "text"))
+    found = find_passages(docs.toDF(*names), items, text=names[of], **how)
+    return found.where("wm_n_hit = 0").select(*names).toDF(*docs.columns)
 
 
 def report(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:

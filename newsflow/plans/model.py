@@ -236,6 +236,18 @@ def feature_frame(trn: DataFrame, stages, extra: list | None = None) -> DataFram
     return out.select("features", "_label_idx", *(extra or []))
 
 
+#: Rows of a fit that are worth a task of their own in every iteration.
+ROWS_A_TASK = 200
+
+
+def spread_rows(feats: DataFrame, n: int) -> DataFrame:
+    """``n`` rows that are fitted many times, dealt to all cores: what a join coalesced into a
+    few partitions would keep the others idle in every iteration. A partition more costs a
+    task and one dense gradient, so there are no more than cores, and few for few rows."""
+    cores = feats.sparkSession.sparkContext.defaultParallelism
+    return feats.repartition(max(1, min(cores, -(-n // ROWS_A_TASK))))
+
+
 def classifier(cfg: TrainConfig, n_train: int) -> LogisticRegression:
     reg = cfg.reg_param if cfg.reg_param is not None else 1.0 / max(n_train, 1)
     return LogisticRegression(featuresCol="features", labelCol="_label_idx", family="auto",
@@ -253,8 +265,8 @@ def train(df: DataFrame, cfg: TrainConfig | None = None):
     cfg = cfg or TrainConfig()
     trn, lexicon = prepared(df, cfg)
     stages = fit_features(trn, cfg)
-    feats = feature_frame(trn, stages).persist()
-    n_train = feats.count()
+    n_train = trn.count()
+    feats = spread_rows(feature_frame(trn, stages), n_train).persist()
     lr_model = classifier(cfg, n_train).fit(feats)
     feats.unpersist()
     cv, scale, norm, indexer = stages

@@ -217,6 +217,7 @@ def two_loops(dots: np.ndarray, m: int) -> list[float]:
     return d.tolist()
 
 
+ABOUT = "lemmas boolean, key string, text_col string, losses array<double>"
 SCHEMA_CELL = "block long, part int, rows binary, terms binary, vals binary"
 SCHEMA_STATE = "part int, width int, w binary, g binary, hist array<binary>, dots array<double>"
 SCHEMA_MARGIN = "block long, y binary, z binary, zd binary, losses array<double>"
@@ -379,17 +380,27 @@ class ShardedModel:
         best = best_class(scores, rows, ROW_ID, [c["label"] for c in classes], [c["intercept"] for c in classes])
         return rows.drop("tokens").join(best.withColumnRenamed("prediction", "prediction_label"), ROW_ID).drop(ROW_ID)
 
+    def score_rows(self, df: DataFrame) -> DataFrame:
+        """C2 output: (key, Content, Predicted Category)."""
+        return self.score(df).select(self.key, F.col("content").alias("Content"),
+                                     F.col("prediction_label").alias("Predicted Category"))
+
     def save(self, path: str) -> None:
+        """Tables in a fresh folder; the ``about`` row is written last and makes it a model."""
         self.terms.write.parquet(f"{path}/terms")
         self.classes.coalesce(1).write.parquet(f"{path}/classes")
         if self.lexicon is not None:
             self.lexicon.write.parquet(f"{path}/lexicon")
+        (self.terms.sparkSession.createDataFrame([(self.lexicon is not None, self.key, self.text_col, list(self.losses))],
+                                                 ABOUT).coalesce(1).write.parquet(f"{path}/about"))
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, lemmas: bool = True, key: str = "doc_id",
-             text_col: str = "text") -> "ShardedModel":
+    def load(cls, spark: SparkSession, path: str, key: str | None = None, text_col: str | None = None) -> "ShardedModel":
+        """The saved model; key and text column are the saved ones unless given."""
+        a = spark.read.schema(ABOUT).parquet(f"{path}/about").first()
         return cls(spark.read.parquet(f"{path}/terms"), spark.read.parquet(f"{path}/classes"),
-                   spark.read.parquet(f"{path}/lexicon") if lemmas else None, key, text_col)
+                   spark.read.parquet(f"{path}/lexicon") if a["lemmas"] else None, key or a["key"],
+                   text_col or a["text_col"], tuple(a["losses"]))
 
 
 def train_sharded(df: DataFrame, cfg: TrainConfig | None = None):

@@ -52,8 +52,8 @@ def q_train_sharded(spark, sf):
     falls = all(a >= b for a, b in zip(model.losses, model.losses[1:]))
     preds = materialize(preds)
     known = preds.join(F.broadcast(model.classes.select(F.col("label").alias("prediction"))), "prediction", "left_semi")
-    best = beats_majority(preds).select((F.col("beats_majority") & F.lit(falls)).alias("settled"))
-    return known.select("doc_id", "label").join(F.broadcast(best))
+    better = beats_majority(preds).select("beats_majority").scalar()
+    return known.select("doc_id", "label", (better & F.lit(falls)).alias("settled"))
 
 
 def beats_majority(preds):

@@ -8,7 +8,8 @@ from conftest import SF0001
 
 # queries that train a model or run a stream are covered by their own tests
 SKIP = {"train_lr", "model_accuracy", "score_batch", "score_json", "dedup_score",
-        "model_roundtrip", "grid_search", "lexicon_train", "stream_score", "retrain"}
+        "model_roundtrip", "grid_search", "lexicon_train", "stream_score", "retrain",
+        "predict_text", "train_sharded"}
 FORBIDDEN = ("CartesianProduct", "BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
              "MapInPandas")
 

@@ -83,9 +83,11 @@ NO_LICENCE = [
     "distributed under the tables", "available under the counter", "subject to the terms of the sale", "the version of the story",
     "license fees are due", "his pilot license was renewed", "no license is needed for the boat", "licensed premises only",
     "a software license agreement must be signed", "licensed under the trade rules", "licensed under the rules of the guild"]
-#: Words of which every notice holds one.
-STEMS = (r"licen[cs]|\bspdx|public\s+domain|permission\s+(is|to)|redistribut|creative\s+commons|\bcc[ -]?(by|0)\b|\b[al]?gplv?"
-         r"|\bbsd\b|\bmpl\b|general\s+public")
+#: Words of which every notice holds one: no template of any class is without, however its words are parted.
+STEMS = (r"licen[cs]|(?<![a-z])spdx|public[^a-z]+domain|permission[^a-z]+(is|to)|redistribut|creative[^a-z]+commons"
+         r"|(?<![a-z])cc[^a-z]*(by|zero|0)|(?<![a-z])mit([^a-z]+zero|-?0)|(?<![a-z])[al]?gplv?|(?<![a-z])(bsd|mpl)(?![a-z])"
+         r"|general[^a-z]+public|(releas|distribut)ed[^a-z]+under"
+         r"|(?<![a-z])(under|by)[^a-z]+(the[^a-z]+)?(mit|apache)(?![a-z])")
 #: Documents whose paragraphs may serve as examples of no licence; a documented bound on the fit.
 MAX_FIT_DOCS = 4000
 #: Share of a template's runs that a part must hold.

@@ -113,3 +113,14 @@ def test_scan_against_a_plain_version(corpus, model):
     key = lambda r: repr(r[:4])
     for a, c in zip(sorted(got, key=key), sorted(want, key=key)):
         assert a[:4] == c[:4] and (a[4] is None) == (c[4] is None) and (a[4] is None or math.isclose(a[4], c[4], abs_tol=1e-6))
+
+
+def test_no_notice_is_left_out_before_it_is_judged():
+    texts = [" ".join(t.split()) for c in licences.CLASSES[1:] for t in (
+        [*licences.NAMES.get(c, ()), *licences.SENTENCES.get(c, ()), *(licences.OTHER_NAMES if c == licences.UNKNOWN else ())])]
+    bare = ("mit", "apache", "bsd", "mpl")
+    texts = [t for t in texts if t not in bare] + [f"{x} {n}" for n in bare for x in ("under", "under the", "by the")]
+    texts += ["released under", "distributed under the", "MIT-0".lower(), "cc0"]
+    for gap in (" ", " - ", "\n", "_"):
+        missed = [t for t in texts if not re.search(licences.STEMS, t.replace(" ", gap))]
+        assert not missed, (gap, missed)

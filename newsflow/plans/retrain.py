@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from newsflow.operators import updates as U
-from newsflow.plans.model import TrainConfig, evaluate, train
+from newsflow.plans.model import TrainConfig, evaluate
+from newsflow.plans.sharded import train_sharded as train
 from newsflow.sources.tables import read_or_none
 from newsflow.streaming.watch import last_batch, update_log, watch_collections
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from newsflow.operators import features as FT
-from newsflow.plans.model import TrainConfig, train, usable
+from newsflow.plans.model import TrainConfig, usable
+from newsflow.plans.sharded import train_sharded
 from newsflow.queries import duck as D
 from newsflow.queries.features import cleaned
 from newsflow.queries.model import known_class
@@ -84,7 +85,7 @@ def q_lexicon_train(spark, sf):
     lex, _ = _written_lexicon(spark, sf)
     rows = lex.select("category", F.array_join("words", ", ").alias("text"),
                       F.col("category").alias("label"))
-    model, _ = train(rows, TrainConfig(key="category", label_col="label", test_fraction=0.0,
+    model, _ = train_sharded(rows, TrainConfig(key="category", label_col="label", test_fraction=0.0,
                                        tol=1e-4))
     rows = model.with_input("doc_id").score_rows(documents(spark, sf))
     return rows.select("doc_id", known_class(F.col("Predicted Category"), model))

@@ -54,6 +54,34 @@ def test_solution_is_the_optimum(spark, monkeypatch):
     assert loss < _objective(x, y, ml.coefficientMatrix.toArray(), ml.interceptVector.toArray(), reg)[0] + 1e-5
 
 
+def test_rows_solver_finds_the_optimum(spark, monkeypatch):
+    # many parts, and many blocks of sums
+    monkeypatch.setattr(sharded, "PART_ENTRIES", 50)
+    monkeypatch.setattr(sharded, "SUM_ROWS", 32)
+    x, y, long, labels = _problem(spark)
+    reg = 1 / len(y)
+    got = sharded.solve_rows(long.repartition(3), labels, 3, reg, tol=1e-10, max_iter=200)
+    w = np.zeros((3, x.shape[1]))
+    rows = got.coefficients.collect()
+    assert sorted(r["idx"] for r in rows) == sorted(np.flatnonzero(x.any(axis=0)))
+    for r in rows:
+        w[:, r["idx"]] = r["w"]
+    loss, gw, gb = _objective(x, y, w, np.array(got.intercepts), reg)
+    assert abs(loss - got.losses[-1]) < 1e-9 and got.losses == sorted(got.losses, reverse=True)
+    assert max(np.abs(gw).max(), np.abs(gb).max()) < 1e-4
+
+
+def test_queries_fit_no_model_on_the_driver(spark, monkeypatch, scratch):
+    from newsflow.queries import model as Q
+    monkeypatch.setattr("pyspark.ml.feature.CountVectorizer.fit", None)
+    model = Q.trained(spark, SF0001)[0].with_input(["item_id"])
+    model.save(f"{scratch}/m")
+    model.with_input("other").save(f"{scratch}/m")   # a second version
+    assert sharded.ShardedModel.load(spark, f"{scratch}/m").key == "other"
+    assert Q.q_train_lr(spark, SF0001).where("NOT known_class").isEmpty()
+    assert Q.q_model_roundtrip(spark, SF0001).first()["n_changed"] == 0
+
+
 def test_two_loops_equal_the_plain_recursion():
     rng = np.random.default_rng(1)
     a = rng.normal(size=(12, 12))

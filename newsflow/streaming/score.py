@@ -2,8 +2,8 @@
 
 Scoring is one projection over the stream: cleaning, the lemma lookup in the
 model's broadcast lexicon, and the model's stages. There is no state, so no
-watermark, and the file sink commits each micro-batch once. Only a model whose
-lexicon no worker should hold needs joins and a regroup by row; its batches go
+watermark, and the file sink commits each micro-batch once. A model whose
+lexicon no worker should hold, or whose terms are a table, needs joins and a regroup by row; its batches go
 through the batch plan and are written as ``batch_id=<n>`` with overwrite, so
 that a retried batch replaces its own output.
 """
@@ -29,7 +29,7 @@ def score_stream(spark: SparkSession, model, source: str, schema: T.StructType,
                  checkpoint: str, fmt: str = "parquet", available_now: bool = True,
                  processing_time: str = "10 seconds", max_files_per_trigger: int | None = None
                  ) -> StreamingQuery:
-    """Start scoring files landing in ``source`` with a fitted ``TextModel``."""
+    """Start scoring files landing in ``source`` with a fitted ``TextModel`` or ``ShardedModel``."""
     stream = read_texts(spark, source, schema, fmt, max_files_per_trigger)
 
     def score(batch: DataFrame, batch_id: int) -> None:

@@ -170,6 +170,22 @@ def lemmatize_tokens(df: DataFrame, lemmas: DataFrame, tokens: str = "tokens", o
             .select(*[c for c in names if c != ROW_ID]))
 
 
+def lemma_rows(df: DataFrame, lemmas: DataFrame | None, tokens: str = "tokens") -> DataFrame:
+    """``lemmatize_tokens`` in long form: (row id, lemma), for work that takes the lemmas apart again.
+
+    A lemma comes once for each of the row's tokens that have it. ``lemmas`` is a map made
+    without exceptions (None: every token is its own lemma), so only tokens with a rule
+    suffix go through the join; the others are read straight into the result.
+    """
+    long = df.select(ROW_ID, F.explode(tokens).alias("token"))
+    if lemmas is None:
+        return long.withColumnRenamed("token", "lemma")
+    may_change = F.col("token").endswith("s") | F.col("token").endswith("men")
+    joined = long.where(may_change).join(lemmas.select("token", "lemma"), "token", "left")
+    return (long.where(~may_change).withColumnRenamed("token", "lemma")
+            .union(joined.select(ROW_ID, F.coalesce("lemma", "token").alias("lemma"))))
+
+
 #: A lexicon of at most so many forms and characters may be held by every worker.
 LOOKUP_FORMS, LOOKUP_CHARS = 1_000_000, 16_000_000
 

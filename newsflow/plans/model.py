@@ -187,21 +187,32 @@ def bounded(df: DataFrame, cfg: TrainConfig) -> DataFrame:
     return df.where(rank < int(share * (1 << 30)))
 
 
-def prepared(df: DataFrame, cfg: TrainConfig):
-    """Cleaned, lemmatized, split-flagged training rows (checkpointed) and the lexicon.
+def cleaned_rows(df: DataFrame, cfg: TrainConfig):
+    """Cleaned, split-flagged training rows (staged, numbered), the lexicon and the lemmas that differ.
 
     The split comes first: ``max_fit_rows`` bounds the training side only, and
     held-out rows are not read here.
     """
     trn, _ = sides(df, cfg)
     prep = with_row_ids(prepare(bounded(trn, cfg), cfg))  # regex cleaning runs once
-    lexicon = None
-    if cfg.lemmas:
-        seen = materialize(prep.select(F.explode("tokens").alias("token")).distinct())
-        lexicon = seen.select(F.col("token").alias("form"))
-        prep = lemmatize_tokens(prep, changed_lemmas(seen, lexicon), only=RULE_SUFFIX)
-    prep = materialize(prep.withColumn("terms", T.terms("tokens")))
-    return prep, lexicon
+    if not cfg.lemmas:
+        return prep, None, None
+    seen = materialize(prep.select(F.explode("tokens").alias("token")).distinct())
+    lexicon = seen.select(F.col("token").alias("form"))
+    return prep, lexicon, changed_lemmas(seen, lexicon)
+
+
+def with_terms(prep: DataFrame, changes: DataFrame | None) -> DataFrame:
+    """``cleaned_rows`` with their tokens' lemmas and with ``terms``, staged."""
+    if changes is not None:
+        prep = lemmatize_tokens(prep, changes, only=RULE_SUFFIX)
+    return materialize(prep.withColumn("terms", T.terms("tokens")))
+
+
+def prepared(df: DataFrame, cfg: TrainConfig):
+    """Cleaned, lemmatized, split-flagged training rows (checkpointed) and the lexicon."""
+    prep, lexicon, changes = cleaned_rows(df, cfg)
+    return with_terms(prep, changes), lexicon
 
 
 def held_out(df: DataFrame, cfg: TrainConfig) -> DataFrame:

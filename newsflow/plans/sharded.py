@@ -40,9 +40,9 @@ from newsflow.batches import arrow_map
 from newsflow.functions import text as T
 from newsflow.operators import features as FT
 from newsflow.operators.clean import clean_text
-from newsflow.operators.lemma import RULE_SUFFIX, ROW_ID, changed_lemmas, lemmatize_tokens, with_row_ids
+from newsflow.operators.lemma import RULE_SUFFIX, ROW_ID, changed_lemmas, lemma_rows, lemmatize_tokens, with_row_ids
 from newsflow.operators.scoring import best_class, vector_scores
-from newsflow.plans.model import TrainConfig, held_out, prepared
+from newsflow.plans.model import TrainConfig, cleaned_rows, held_out, with_terms
 from newsflow.session import materialize, stage, unstage
 
 #: Rows of a block and terms of a range, as powers of 2.
@@ -374,12 +374,45 @@ def _part_cells(at):
     return cell
 
 
+def _term_cells(at, n: int, min_df: int):
+    """One cell of a task's (row, term) pairs, with the terms themselves and a value a term, its
+    smoothed idf over ``n`` rows; a pair counts once, and terms in fewer than ``min_df`` rows are left out."""
+    def run(batches):
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        pairs = pa.Table.from_batches(held)
+        coded = pa.concat_arrays(pairs.column("term").chunks).dictionary_encode()
+        size = max(1, len(at.value))
+        both = np.unique(coded.indices.to_numpy().astype("i8") * size + np.searchsorted(at.value, pairs.column("row").to_numpy()))
+        c, r = np.divmod(both, size)
+        counts = np.bincount(c, minlength=len(coded.dictionary))
+        keep = counts >= min_df
+        terms, idf = coded.dictionary.filter(pa.array(keep)), np.log((1.0 + n) / (1.0 + counts[keep])) + 1.0
+        yield pa.record_batch({"terms": pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms),
+                               "rows": pa.array([r[keep[c]].astype("<i4").tobytes()], pa.binary()),
+                               "counts": pa.array([counts[keep].astype("<i4").tobytes()], pa.binary()),
+                               "vals": pa.array([idf.astype("<f8").tobytes()], pa.binary())})
+
+    return run
+
+
 def _by_term(cell: tuple, numbers: np.ndarray):
-    """(rows, terms, counts, values, sums over the rows of each term) of a cell; ``numbers``: a line a class."""
-    r, c, counts = (np.frombuffer(x, "<i4") for x in cell[:3])
-    v = np.frombuffer(cell[3], "<f8")
+    """(rows, counts, values, sums over the rows of each term) of a cell; ``numbers``: a line a class.
+    Values are one an entry, or one a term."""
+    r, counts = (np.frombuffer(x, "<i4") for x in cell[:2])
+    v = np.frombuffer(cell[2], "<f8")
+    if not len(r):
+        return r, counts, v, [np.zeros(0) for _ in numbers]
     starts = np.cumsum(counts) - counts
-    return r, c, counts, v, [np.add.reduceat(v * line[r], starts) for line in numbers]
+    if len(v) == len(r):
+        return r, counts, v, [np.add.reduceat(v * line[r], starts) for line in numbers]
+    return r, counts, v, [v * np.add.reduceat(line[r], starts) for line in numbers]
+
+
+def _to_entries(v: np.ndarray, x: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``v`` (one an entry, or one a term) times ``x`` (one a term), for each entry."""
+    return np.repeat(v * x, counts) if len(v) == len(counts) else v * np.repeat(x, counts)
 
 
 def _line_search(f, slope: float, t: float) -> tuple[float, float]:
@@ -471,25 +504,77 @@ def descent(y: np.ndarray, k: int, reg: float, max_iter: int, tol: float, histor
     return (*at, losses)
 
 
+def _rows_of(labels: DataFrame):
+    """(row numbers broadcast, classes) of ``labels``, by row."""
+    given = labels.select("row", F.col("label_idx").cast("int")).orderBy("row").toArrow()
+    return labels.sparkSession.sparkContext.broadcast(given.column("row").to_numpy()), given.column("label_idx").to_numpy()
+
+
+def _parts(spark: SparkSession, n_entries: int) -> int:
+    return max(spark.sparkContext.defaultParallelism, -(-n_entries // PART_ENTRIES))
+
+
 def solve_rows(entries: DataFrame, labels: DataFrame, n_classes: int, reg: float, max_iter: int = 1000,
                tol: float = 1e-6, history: int = HISTORY, n_entries: int | None = None, unit: bool = False) -> Solved:
     """``solve`` for at most ``ROW_NUMBERS`` rows x classes, over any number of terms.
 
-    Terms are dealt out to parts, each one cell with all rows of its terms. A pass sends
-    the residuals to every part, which sums them by term and the terms' sums by row; the
-    parts' sums are added up by blocks of rows before the driver sees them. With
-    ``unit`` the rows count as if scaled to length 1. ``n_entries``: their number, if known.
+    Terms are dealt out to parts, each one cell with all rows of its terms; see
+    ``solve_cells``. With ``unit`` the rows count as if scaled to length 1.
+    ``n_entries``: their number, if known.
     """
-    spark, k = entries.sparkSession, n_classes
-    given = labels.select("row", F.col("label_idx").cast("int")).orderBy("row").toArrow()
-    y = given.column("label_idx").to_numpy()
-    at = spark.sparkContext.broadcast(given.column("row").to_numpy())
+    at, y = _rows_of(labels)
     entries = entries.select("row", "idx", F.col("value").cast("double"))
-    parts = max(spark.sparkContext.defaultParallelism, -(-(n_entries or entries.count()) // PART_ENTRIES))
+    parts = _parts(entries.sparkSession, n_entries or entries.count())
     dealt = entries.select("row", F.expr(f"int(idx div {parts})").alias("term"), "value",
                            F.expr(f"int(idx % {parts})").alias("part"))
     cells = stage(dealt.repartition(parts, "part").groupBy("part").applyInArrow(
         _part_cells(at), "part int, rows binary, terms binary, counts binary, vals binary"), "cells")
+    lines, free, losses = solve_cells(cells, y, n_classes, reg, max_iter, tol, history, unit)
+
+    def unpacked(rows):
+        for part, terms, *cell in rows:
+            *_, sums = _by_term(cell, lines.value)
+            for i, w in zip(np.frombuffer(terms, "<i4").tolist(), np.stack(sums, axis=1).tolist()):
+                yield i * parts + part, w
+
+    coefficients = stage(arrow_map(cells.select("part", "terms", "rows", "counts", "vals"), unpacked,
+                                   "idx long, w array<double>"), "coefficients")
+    unstage(cells)
+    return Solved(coefficients, free, losses)
+
+
+def solve_terms(pairs: DataFrame, labels: DataFrame, n_classes: int, n: int, reg: float, max_iter: int = 1000,
+                tol: float = 1e-6, history: int = HISTORY, n_entries: int | None = None, min_df: int = 1) -> Solved:
+    """``solve_rows`` on TF-IDF rows of length 1 from (row, term) pairs of ``n`` rows, terms as strings.
+
+    One shuffle deals the pairs by term: where all rows of a term are together, repeated pairs
+    are dropped and its document frequency and idf are known, so no vocabulary is joined to
+    the pairs. ``coefficients``: (term, df, w).
+    """
+    at, y = _rows_of(labels)
+    parts = _parts(pairs.sparkSession, n_entries or pairs.count())
+    cells = stage(pairs.select("row", "term").repartition(parts, "term").mapInArrow(
+        _term_cells(at, n, min_df), "terms array<string>, rows binary, counts binary, vals binary"), "cells")
+    lines, free, losses = solve_cells(cells, y, n_classes, reg, max_iter, tol, history, True)
+
+    def unpacked(rows):
+        for terms, *cell in rows:
+            _, counts, _, sums = _by_term(cell, lines.value)
+            yield from zip(terms, counts.tolist(), np.stack(sums, axis=1).tolist())
+
+    coefficients = stage(arrow_map(cells.select("terms", "rows", "counts", "vals"), unpacked,
+                                   "term string, df long, w array<double>"), "coefficients")
+    unstage(cells)
+    return Solved(coefficients, free, losses)
+
+
+def solve_cells(cells: DataFrame, y: np.ndarray, k: int, reg: float, max_iter: int, tol: float, history: int, unit: bool):
+    """(numbers broadcast, a line a class; intercepts; losses) of the optimum over ``cells``.
+
+    A pass sends the residuals to every part, which sums them by term and the terms' sums
+    by row; the parts' sums are added up by blocks of rows before the driver sees them.
+    """
+    spark, size = cells.sparkSession, len(y)
 
     def gathered(partial, width):
         """Sums over all parts of the lines, ``width`` numbers a row, that ``partial`` yields in blocks of rows."""
@@ -504,18 +589,17 @@ def solve_rows(entries: DataFrame, labels: DataFrame, n_classes: int, reg: float
             for i in range(0, total.shape[1], SUM_ROWS):
                 yield i, total[:, i:i + SUM_ROWS].tobytes()
 
-        some = arrow_map(cells.select("rows", "terms", "counts", "vals"), blocks, "at long, z binary", flush=4)
-        out = np.zeros((width, len(y)))
+        some = arrow_map(cells.select("rows", "counts", "vals"), blocks, "at long, z binary", flush=4)
+        out = np.zeros((width, size))
         for i, x in arrow_map(some.repartition("at"), added, "at long, z binary", flush=4).collect():
             out[:, i:i + SUM_ROWS] = np.frombuffer(x, "<f8").reshape(width, -1)
         return out
 
-    size = len(y)
-
     def squares(rows):
         total = np.zeros((1, size))
-        for r, _, _, v in rows:
-            total[0] += np.bincount(np.frombuffer(r, "<i4"), np.frombuffer(v, "<f8") ** 2, size)
+        for r, counts, v in rows:
+            counts, v = np.frombuffer(counts, "<i4"), np.frombuffer(v, "<f8")
+            total[0] += np.bincount(np.frombuffer(r, "<i4"), _to_entries(v, v, counts) if len(v) == len(counts) else v ** 2, size)
         return total
 
     scale = np.ones(size)
@@ -523,15 +607,18 @@ def solve_rows(entries: DataFrame, labels: DataFrame, n_classes: int, reg: float
         norm = gathered(squares, 1)[0] ** 0.5
         scale = np.divide(1.0, norm, out=scale, where=norm > 0)
 
+    def lines_of(numbers: np.ndarray):
+        return spark.sparkContext.broadcast(np.ascontiguousarray((numbers * scale[:, None]).T))
+
     def margins(numbers: np.ndarray) -> np.ndarray:
-        sent = spark.sparkContext.broadcast(np.ascontiguousarray((numbers * scale[:, None]).T))
+        sent = lines_of(numbers)
 
         def partial(rows):
             total = np.zeros(sent.value.shape)
             for cell in rows:
-                r, _, counts, v, sums = _by_term(cell, sent.value)
+                r, counts, v, sums = _by_term(cell, sent.value)
                 for line, x in zip(total, sums):
-                    line += np.bincount(r, v * np.repeat(x, counts), size)
+                    line += np.bincount(r, _to_entries(v, x, counts), size)
             return total
 
         out = gathered(partial, k).T * scale[:, None]
@@ -545,18 +632,7 @@ def solve_rows(entries: DataFrame, labels: DataFrame, n_classes: int, reg: float
             r = fit.send(margins(r))
     except StopIteration as end:
         numbers, _, free, losses = end.value
-    sent = spark.sparkContext.broadcast(np.ascontiguousarray((numbers * scale[:, None]).T))
-
-    def unpacked(rows):
-        for part, *cell in rows:
-            _, c, _, _, sums = _by_term(cell, sent.value)
-            for i, w in zip(c.tolist(), np.stack(sums, axis=1).tolist()):
-                yield i * parts + part, w
-
-    coefficients = stage(arrow_map(cells.select("part", "rows", "terms", "counts", "vals"), unpacked,
-                                   "idx long, w array<double>"), "coefficients")
-    unstage(cells)
-    return Solved(coefficients, free.tolist(), losses)
+    return lines_of(numbers), free.tolist(), losses
 
 
 @dataclass
@@ -635,35 +711,47 @@ class ShardedModel:
                    text_col or a["text_col"], tuple(a["losses"]))
 
 
-def train_sharded(df: DataFrame, cfg: TrainConfig | None = None):
-    """M15 with the vocabulary as a table: (ShardedModel, predictions on the whole test split).
+def fit_sharded(df: DataFrame, cfg: TrainConfig | None = None) -> ShardedModel:
+    """M7 with the vocabulary as a table, on the training side of ``df``.
 
     The same cleaning, lemmas, split, weights, objective and bound on fit rows as
     ``plans.model.train``; without a ``cfg`` every training row is fitted.
     """
     cfg = cfg or TrainConfig(max_fit_rows=None)
-    prep, lexicon = prepared(df, cfg)
-    prep = with_row_ids(prep.select(cfg.label_col, "terms"))
-    index = materialize(FT.label_index(prep, cfg.label_col))
+    rows, lexicon, changes = cleaned_rows(df, cfg)
+    index = materialize(FT.label_index(rows, cfg.label_col))
     names = [r[cfg.label_col] for r in index.orderBy("label_idx").collect()]   # one row a class
-    labels = materialize(prep.join(F.broadcast(index), cfg.label_col).select(F.col(ROW_ID).alias("row"), "label_idx"))
-    n = labels.count()
-    long = prep.select(F.col(ROW_ID).alias("row"), F.explode(F.array_distinct("terms")).alias("term"))
-    vocabulary = materialize(FT.idf_table(FT.vocabulary_index(FT.vocabulary(long, "row", int(cfg.min_df))), n))
+    labelled = lambda x: x.join(F.broadcast(index), cfg.label_col).select(F.col(ROW_ID).alias("row"), "label_idx")
+    n, n_entries = rows.agg(F.count(F.lit(1)), F.sum(F.size("tokens"))).first()
     reg = cfg.reg_param if cfg.reg_param is not None else 1.0 / max(n, 1)
     if n * len(names) <= ROW_NUMBERS:
-        raw = long.join(vocabulary.select("term", "idx", F.col("idf").alias("value")), "term")
-        n_entries = vocabulary.agg(F.sum("df")).first()[0]
-        got = solve_rows(raw, labels, len(names), reg, cfg.max_iter, cfg.tol, n_entries=n_entries, unit=True)
+        pairs = lemma_rows(rows, changes).select(F.col(ROW_ID).alias("row"), F.col("lemma").alias("term"))
+        got = solve_terms(pairs.where(F.length("term") >= 2), materialize(labelled(rows)), len(names), n, reg,
+                          cfg.max_iter, cfg.tol, n_entries=n_entries, min_df=int(cfg.min_df))
+        terms = FT.idf_table(FT.vocabulary_index(got.coefficients), n)
     else:
+        prep = with_row_ids(with_terms(rows, changes).select(cfg.label_col, "terms"))
+        long = prep.select(F.col(ROW_ID).alias("row"), F.explode(F.array_distinct("terms")).alias("term"))
+        vocabulary = materialize(FT.idf_table(FT.vocabulary_index(FT.vocabulary(long, "row", int(cfg.min_df))), n))
         weights = FT.tfidf(long, vocabulary.select("term", "idx", "idf"), "row", keep=["idx"])
         entries = weights.select("row", "idx", F.col("weight").alias("value"))
-        got = solve(entries, labels, len(names), vocabulary.count(), reg, cfg.max_iter, cfg.tol)
-    terms = materialize(vocabulary.join(got.coefficients, "idx").select("term", "df", "idx", "idf", "w"))
+        got = solve(entries, materialize(labelled(prep)), len(names), vocabulary.count(), reg, cfg.max_iter, cfg.tol)
+        terms = vocabulary.join(got.coefficients, "idx")
+    terms = materialize(terms.select("term", "df", "idx", "idf", "w"))
     classes = df.sparkSession.createDataFrame(
         [(c, i, b) for i, (c, b) in enumerate(zip(names, got.intercepts))],
         f"label {index.schema[cfg.label_col].dataType.simpleString()}, label_idx long, intercept double")
-    model = ShardedModel(terms, classes, lexicon, cfg.key, cfg.text_col, tuple(got.losses))
-    preds = model.score(held_out(df, cfg)).select(
+    return ShardedModel(terms, classes, lexicon, cfg.key, cfg.text_col, tuple(got.losses))
+
+
+def predictions(model: ShardedModel, df: DataFrame, cfg: TrainConfig) -> DataFrame:
+    """(key, label, prediction) on the whole test split of ``df``."""
+    return model.score(held_out(df, cfg)).select(
         cfg.key, F.col(cfg.label_col).alias("label"), F.col("prediction_label").alias("prediction"))
-    return model, preds
+
+
+def train_sharded(df: DataFrame, cfg: TrainConfig | None = None):
+    """M15 with the vocabulary as a table: (ShardedModel, predictions on the whole test split)."""
+    cfg = cfg or TrainConfig(max_fit_rows=None)
+    model = fit_sharded(df, cfg)
+    return model, predictions(model, df, cfg)

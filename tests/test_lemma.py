@@ -58,3 +58,16 @@ def test_a_long_run_of_s_ends_at_the_lexicon(spark):
     got = {r.token[0]: r.lemma for r in lemma_table(tok, lex).collect()}
     assert got["a"] == "as" and got["b"] == "b" and got["c"] == "c" + "s" * 10_000
     assert time.time() - begin < 60
+
+
+def test_lemma_rows_are_the_lemmas_of_lemmatize_tokens(spark):
+    from newsflow.operators.lemma import ROW_ID, changed_lemmas, lemma_rows, with_row_ids
+    rows = with_row_ids(spark.createDataFrame([(1, ["cats", "cat", "women", "glass", "omen"]), (1, ["dog", "dogs"]), (None, []), (2, None)],
+                                              "k int, tokens array<string>"))
+    toks = rows.selectExpr("explode(tokens) AS token").union(spark.createDataFrame([("woman",)], "token string"))
+    changes = changed_lemmas(toks, toks)
+    want = {(r.k, t) for r in lemmatize_tokens(rows, changes).collect() for t in r.tokens}
+    keys = rows.select(ROW_ID, "k")
+    got = [(r.k, r.lemma) for r in lemma_rows(rows, changes).join(keys, ROW_ID).collect()]
+    assert set(got) == want and len(got) == 7 and got.count((1, "cat")) == 2
+    assert sorted(r.lemma for r in lemma_rows(rows, None).collect()) == sorted(["cats", "cat", "women", "glass", "omen", "dog", "dogs"])
